@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.operators import counts, keyed, tokens, vocabulary  # noqa: E402
+from tidemark.operators import counts, incremental, keyed, tokens, vocabulary  # noqa: E402
 from tidemark.plans import measure  # noqa: E402
 from tidemark.session import scratch_folder  # noqa: E402
-from tidemark.sources.tables import event_tokens, read_table, stream_events  # noqa: E402
+from tidemark.sources.tables import (  # noqa: E402
+    event_tokens,
+    read_table,
+    stream_events,
+    with_property,
+)
 from tidemark.streaming import operators as streams  # noqa: E402
 from tidemark.streaming import run, state  # noqa: E402
 
@@ -91,10 +96,8 @@ def parse_rejects(spark, sf):
 
 def take_until_quit(spark, sf):
     """A user's stream quits at their first purchase with k above 90."""
-    events = _events(spark, sf)
-    quits = (F.col("event_type") == "purchase") & (
-        F.get_json_object("props", "$.k").try_cast("bigint") > 90
-    )
+    events = with_property(_events(spark, sf))
+    quits = (F.col("event_type") == "purchase") & (F.col("k").try_cast("bigint") > 90)
     rows = events.select(
         F.col("user_id").alias("key"),
         F.col("event_id").alias("seq"),
@@ -114,6 +117,20 @@ def resettable_sum_chunked(spark, sf):
     return keyed.resettable_sum(numbers, layout)
 
 
+def resettable_sum_resumed(spark, sf):
+    """The sums of January's first half, then those of the rest from its state."""
+    events = _events(spark, sf)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    rows, state = [], None
+    for part in (early, ~early):
+        numbers = tokens.numbers(event_tokens(events.filter(part)))
+        layout = measure(numbers, "key", "seq")
+        scanned = incremental.resume_sums(numbers, state, layout)
+        state = incremental.state_after(scanned, layout)
+        rows.append(incremental.emitted(scanned, layout))
+    return rows[0].unionByName(rows[1])
+
+
 def value_state(spark, sf):
     return keyed.value_state(*_keyed(spark, sf))
 
@@ -261,6 +278,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "take_until_quit": take_until_quit,
         "resettable_sum": resettable_sum,
         "resettable_sum_chunked": resettable_sum_chunked,
+        "resettable_sum_resumed": resettable_sum_resumed,
         "value_state": value_state,
         "list_state": list_state,
         "map_state": map_state,
@@ -433,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT seq, n, CAST(sum(n) OVER (PARTITION BY epoch ORDER BY seq
                                              ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
             FROM epochs WHERE n <> -1""",
+        "resettable_sum_resumed": _NUMBERS + "SELECT key, seq, n, total, place AS size FROM sums",
         "value_state": _VALUE_STATE,
         "list_state": _LIST_STATE,
         "map_state": _MAP_STATE,

@@ -21,6 +21,16 @@ def connect(folder):
     return con
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def rows(columns, values):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(v[i] for i in order) for v in values), key=repr)
@@ -31,9 +41,9 @@ def compare(spark, con, folder, name):
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     rel = con.sql(entry.oracle_sql()[name])
     want = rows(rel.columns, rel.fetchall())
-    same_names = sorted(df.columns) == sorted(rel.columns)
     kinds = dict(zip(rel.columns, map(str, rel.types), strict=True))
-    return got == want and same_names, len(got), len(want), kinds, dict(df.dtypes)
+    types = {c: SAME_TYPES.get(t, t) for c, t in df.dtypes}
+    return got == want and types == kinds, len(got), len(want), kinds, types
 
 
 def main():

@@ -23,16 +23,13 @@ def split_tokens(line: Column) -> Column:
     """Array of tokens of a line, cut at every single blank.
 
     Leading and inner empty tokens stay and trailing ones go; an empty line
-    holds one empty token, a line of blanks only holds none.  Every blank is
-    first mapped to a space because splitting at one plain character needs no
-    regular expression, which is several times faster on long texts.
+    holds one empty token, a line of blanks only holds none.
     """
     kept = F.rtrim(line, F.lit(BLANKS))
-    cut = F.split(F.translate(kept, BLANKS[1:], " " * (len(BLANKS) - 1)), " ")
     return (
         F.when(line == "", F.array(F.lit("")))
         .when(kept == "", F.array().cast("array<string>"))
-        .otherwise(cut)
+        .otherwise(F.split(kept, f"[{BLANKS}]"))
     )
 
 

@@ -47,5 +47,5 @@ def vocabulary(stream: DataFrame, layout: Layout, word: str = "word") -> DataFra
         first = [F.col("first").alias(layout.order[0])]
     entries = entries.select(*layout.keys, word, "count", *first)
     # A key has no more entries than tokens, so the layout fits them too.
-    placed = segmented_scan(entries, layout, {"place": F.lit(1)})
+    placed = segmented_scan(entries, layout, {"place": F.lit(1)}, placed=True)
     return placed.select(*layout.keys, (F.col("place") - 1).alias("pos"), word, "count")

@@ -25,6 +25,9 @@ SLOTS = 1 << 16
 # A slot is heavy from this multiple of the mean slot on; hence at most
 # SLOTS / HEAVY of them exist.
 HEAVY = 8
+# Bins of the histogram, and chunks per key at most, as powers of two.
+BIN_BITS = 12
+CHUNK_BITS = 20
 # Groups below this many rows are never worth splitting.
 GROUP_ROWS = 1 << 22
 
@@ -39,13 +42,15 @@ class Layout:
 
     No keys means that all rows are one stream; prefer that to a constant key.
     `order` must be unique within a key; its first column must be integral and
-    is cut into chunks of 2**bits for the keys of the heavy slots.
+    is cut into chunks of 2**bits for the keys of the heavy slots.  `low` is the
+    least value of that column, where it was measured and there are rows.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     heavy: tuple[int, ...] = ()
     bits: int = 0
+    low: int | None = None
 
     def is_heavy(self) -> Column:
         return slot(self.keys).isin(list(self.heavy)) if self.keys else F.lit(True)
@@ -78,30 +83,36 @@ def measure(
     """Layout for `df`, from one pass over its key and first order column.
 
     Runs a Spark job.  A slot is heavy when it holds more rows than both
-    `group_rows` and `HEAVY` mean slots.  The chunk width follows the density
-    of the order column in the densest heavy slot, so that a chunk of it holds
-    about `group_rows` rows.  `min_parts` lowers `group_rows` for small inputs, so
-    that a stream of all rows is cut into about that many chunks at least.
+    `group_rows` and `HEAVY` mean slots.  Where one is, a second job takes a
+    histogram of the order of the heavy rows, and the chunks become so narrow
+    that one in the densest part holds about `group_rows` rows; elsewhere they
+    hold fewer.  `min_parts` lowers `group_rows` for small inputs, so that a
+    stream of all rows is cut into about that many chunks at least.
     """
     keys, order = names(keys), names(order)
-    position = F.col(order[0]).cast("bigint")
-    counts = (
-        df.select(slot(keys).alias("slot"), position.alias("position"))
-        .groupBy("slot")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("position").alias("low"),
-            F.max("position").alias("high"),
-        )
-        .collect()  # at most SLOTS rows
+    rows = df.select(
+        slot(keys).alias("slot"), F.col(order[0]).cast("bigint").alias("position")
     )
-    total = sum(row["n"] for row in counts)
+    counts = rows.groupBy("slot").agg(
+        F.count("*").alias("n"), F.min("position").alias("low"), F.max("position").alias("high")
+    )
+    slots = counts.collect()  # at most SLOTS rows
+    total = sum(row["n"] for row in slots)
     group_rows = max(1, min(group_rows, total // min_parts))
     limit = max(group_rows, HEAVY * total // SLOTS)
-    heavy = [row for row in counts if row["n"] > limit]
+    heavy = [row for row in slots if row["n"] > limit]
+    low = min((row["low"] for row in slots), default=None)
     if not heavy:
-        return Layout(keys, order)
-    width = min(
-        max(1, (row["high"] - row["low"] + 1) * group_rows // row["n"]) for row in heavy
+        return Layout(keys, order, low=low)
+    found = tuple(sorted(row["slot"] for row in heavy))
+    span = max(row["high"] for row in heavy) - min(row["low"] for row in heavy) + 1
+    bin_bits = max(0, span.bit_length() - BIN_BITS)
+    densest = (
+        rows.filter(F.col("slot").isin(list(found)))
+        .groupBy(F.shiftright("position", bin_bits).alias("bin"))
+        .count()
+        .agg(F.max("count").alias("n"))
+        .first()["n"]
     )
-    return Layout(keys, order, tuple(sorted(row["slot"] for row in heavy)), width.bit_length() - 1)
+    width = max(1, (group_rows << bin_bits) // densest, span >> CHUNK_BITS)
+    return Layout(keys, order, found, width.bit_length() - 1, low)

@@ -39,6 +39,7 @@ def segmented_scan(
     restart: Column | None = None,
     seen: str | None = None,
     descending: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     """`df` with running sums per key, in order, since the last restart row.
 
@@ -47,12 +48,20 @@ def segmented_scan(
     restart: true on rows where the sums start again; none means never.
     seen: optional new column, true from the first restart row of the key on.
     descending: go through the order from its end.
+    placed: the rows of a light key are together already.
     """
-    return in_order(df, layout, lambda rows, scan: scan(rows, sums, restart, seen, descending))
+
+    def step(rows, scan):
+        return scan(rows, sums, restart, seen, descending)
+
+    return in_order(df, layout, step, placed)
 
 
 def in_order(
-    df: DataFrame, layout: Layout, steps: Callable[[DataFrame, Scan], DataFrame]
+    df: DataFrame,
+    layout: Layout,
+    steps: Callable[[DataFrame, Scan], DataFrame],
+    placed: bool = False,
 ) -> DataFrame:
     """Run `steps`, one or more scans in a row, behind a single exchange.
 
@@ -60,7 +69,7 @@ def in_order(
     `scan` takes the arguments of `segmented_scan` without the layout.
     """
     if not layout.heavy:
-        return steps(_placed(df, layout.keys), _whole_groups(layout))
+        return steps(df if placed else _placed(df, layout.keys), _whole_groups(layout))
     heavy = layout.is_heavy()
     light = steps(_placed(df.filter(~heavy), layout.keys), _whole_groups(layout))
     # A struct is never null, and equal to another also where fields of both

@@ -37,8 +37,17 @@ def event_tokens(events: DataFrame) -> DataFrame:
     token = (
         F.when(kind == "error", CLEAR_TOKEN)
         .when(kind == "view", F.concat(F.lit("x"), F.col("event_id").cast("string")))
-        .otherwise(F.get_json_object("props", "$.k"))
+        .otherwise(F.col("k"))
     )
-    return events.select(
+    return with_property(events).select(
         F.col("user_id").alias("key"), F.col("event_id").alias("seq"), token.alias("tok")
     )
+
+
+def with_property(events: DataFrame) -> DataFrame:
+    """Events with the number in their properties as text in `k`.
+
+    As a generator the JSON is parsed once per row; a plain expression would be
+    parsed again in every filter that Spark pushes below it.
+    """
+    return events.select("event_id", "user_id", "event_type", F.json_tuple("props", "k").alias("k"))
