@@ -53,10 +53,10 @@ def stream_ordered_lines(
     A stream cannot number rows, so each file is read whole and must fit in a
     task; drop many files of moderate size.
     """
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    files = reader.text(path).select(
+    files = reader.text(path, wholetext=True).select(
         F.unix_micros("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_path").alias("file"),
         # A final line end starts no further line.

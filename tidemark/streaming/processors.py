@@ -28,11 +28,12 @@ def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 
 def _sums_since(values: np.ndarray, restart: np.ndarray, carried: int) -> np.ndarray:
-    """Running sums since the last restart row; `carried` counts up to the first one."""
+    """Running sums since, and with, the last restart row; `carried` counts before the first."""
+
     def scan(v, zero):
         total = np.cumsum(v)
         last = np.maximum.accumulate(np.where(restart, np.arange(len(v)), -1))
-        return total - np.where(last >= 0, total[last], -zero)
+        return total - np.where(last >= 0, (total - v)[last], -zero)
 
     sums = scan(values, np.int64(carried))
     if len(sums) and np.abs(scan(values.astype(float), float(carried))).max() >= 2.0**63:
@@ -94,7 +95,7 @@ class ResettableSum(StatefulProcessor):
         sums = _sums_since(np.where(clear, 0, n), clear, total)
         if clear.any():
             size = 0
-            self._clear(size)
+            self._clear()
             tail = n[np.flatnonzero(clear)[-1] + 1 :]
         else:
             tail = n
@@ -113,7 +114,7 @@ class ResettableSum(StatefulProcessor):
             self.latest.update((int(emitted["total"].iloc[-1]),))
             yield emitted
 
-    def _clear(self, size: int) -> None:
+    def _clear(self) -> None:
         self.value.clear()
         self.entries.clear()
         self.reduced.clear()
