@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import counted
-from tidemark.plans import Layout, segmented_scan
+from tidemark.plans import Layout, Pass, ordered_scan
 
 
 def word_count(stream: DataFrame, word: str = "word") -> DataFrame:
@@ -21,7 +21,7 @@ def formatted(counts: DataFrame, word: str = "word", count: str = "count") -> Da
 
 def running_count(stream: DataFrame, layout: Layout) -> DataFrame:
     """Every occurrence with the number of times its word, the key, has come up so far."""
-    return segmented_scan(stream, layout, {"count": F.lit(1)})
+    return ordered_scan(stream, layout, Pass({"count": F.lit(1)}))
 
 
 def tumbling_count(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import is_clear
-from tidemark.plans import Layout, segmented_scan
+from tidemark.plans import Layout, Pass, ordered_scan
 
 SEED = "seed"
 
@@ -45,7 +45,7 @@ def resume_sums(
         "total": added.otherwise(F.col(n)),
         "size": added.when(F.col(SEED), F.col("held")).otherwise(1),
     }
-    return segmented_scan(rows, layout, sums, restart=cleared).drop("held")
+    return ordered_scan(rows, layout, Pass(sums, restart=cleared)).drop("held")
 
 
 def _seeds(state, numbers, layout, n):

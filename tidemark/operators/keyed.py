@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import AVERAGE_LABEL, CLEAR, STATE_KEY
-from tidemark.plans import Layout, in_order, segmented_scan
+from tidemark.plans import Layout, Pass, ordered_scan
 from tidemark.plans.layout import names
 
 # The names under which the states of a key are published.
@@ -38,17 +38,16 @@ def _needed(numbers: DataFrame, layout: Layout, n: str) -> DataFrame:
 
 def resettable_sum(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Each number with the sum since the last clear: (keys, order, n, total)."""
-    total = {"total": _unless_clear(n, F.col(n))}
-    rows = segmented_scan(_needed(numbers, layout, n), layout, total, restart=is_clear(n))
+    total = Pass({"total": _unless_clear(n, F.col(n))}, restart=is_clear(n))
+    rows = ordered_scan(_needed(numbers, layout, n), layout, total)
     return rows.filter(~is_clear(n))
 
 
 def running_average(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Average since the last clear, from the second number on: (keys, order, avg)."""
-    sums = {"total": _unless_clear(n, F.col(n)), "pos": _unless_clear(n, F.lit(1))}
-    rows = segmented_scan(_needed(numbers, layout, n), layout, sums, restart=is_clear(n))
-    average = F.col("total").cast("double") / F.col("pos").cast("double")
-    return rows.filter(~is_clear(n) & (F.col("pos") >= 2)).select(
+    rows = ordered_scan(_needed(numbers, layout, n), layout, _since_clear(n))
+    average = F.col("total").cast("double") / F.col("place").cast("double")
+    return rows.filter(~is_clear(n) & (F.col("place") >= 2)).select(
         *layout.keys, *layout.order, average.alias("avg")
     )
 
@@ -58,28 +57,32 @@ def pair_average(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
 
     (keys, order, avg) with the order of the second number.
     """
-    second = F.col("pos") % 2 == 0
+    places = Pass(
+        {"place": _unless_clear(n, F.lit(1))},
+        restart=is_clear(n),
+        previous={"other": F.col(n)},
+    )
+    rows = ordered_scan(_needed(numbers, layout, n), layout, places)
+    pairs = rows.filter(~is_clear(n) & (F.col("place") % 2 == 0))
+    total = F.col(n) + F.col("other")
+    return pairs.select(*layout.keys, *layout.order, (total.cast("double") / 2).alias("avg"))
 
-    def steps(rows, scan):
-        rows = scan(rows, {"pos": _unless_clear(n, F.lit(1))}, restart=is_clear(n))
-        rows = rows.filter(~is_clear(n))
-        return scan(rows, {"total": F.col(n)}, restart=~second)
 
-    pairs = in_order(_needed(numbers, layout, n), layout, steps).filter(second)
-    return pairs.select(
-        *layout.keys, *layout.order, (F.col("total").cast("double") / 2).alias("avg")
-    )
+def _since_clear(n: str) -> Pass:
+    """Sum and place of each number since the last clear before it."""
+    sums = {"total": _unless_clear(n, F.col(n)), "place": _unless_clear(n, F.lit(1))}
+    return Pass(sums, restart=is_clear(n))
 
 
-def _mark_live(rows, scan, n):
-    """Adds `live`: true for the numbers after the last clear of their key."""
-    rows = scan(rows, {}, restart=is_clear(n), seen="dead", descending=True)
-    return rows.withColumn("live", ~F.col("dead")).drop("dead")
+def _to_clear(n: str) -> Pass:
+    """From the end of the stream: `dead` from the last clear of the key on."""
+    return Pass(restart=is_clear(n), seen="dead", descending=True)
 
 
-def _live(numbers: DataFrame, layout: Layout, n: str) -> DataFrame:
-    rows = _needed(numbers, layout, n)
-    return in_order(rows, layout, lambda rows, scan: _mark_live(rows, scan, n))
+def _live(numbers: DataFrame, layout: Layout, n: str, *passes: Pass) -> DataFrame:
+    """All rows, with `live` true for the numbers after the last clear of their key."""
+    rows = ordered_scan(_needed(numbers, layout, n), layout, *passes, _to_clear(n))
+    return rows.withColumn("live", ~F.col("dead")).drop("dead")
 
 
 def value_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
@@ -94,13 +97,10 @@ def value_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
 
 def list_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Numbers since the last clear in order, one row each: (keys, pos, n), pos from 0."""
-
-    def steps(rows, scan):
-        live = _mark_live(rows, scan, n).filter("live")
-        return scan(live, {"place": F.lit(1)})
-
-    placed = in_order(_needed(numbers, layout, n), layout, steps)
-    return placed.select(*layout.keys, (F.col("place") - 1).alias("pos"), n)
+    # In the last segment the place since the last clear is the list position.
+    places = Pass({"place": _unless_clear(n, F.lit(1))}, restart=is_clear(n))
+    live = _live(numbers, layout, n, places).filter("live")
+    return live.select(*layout.keys, (F.col("place") - 1).alias("pos"), n)
 
 
 def reducing_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
@@ -150,12 +150,7 @@ def state_snapshot(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFram
     value.  List elements are rows, never one array per key.
     """
     given, live = ~is_clear(n), F.col("live")
-
-    def steps(rows, scan):
-        sums = {"total": _unless_clear(n, F.col(n)), "place": _unless_clear(n, F.lit(1))}
-        return scan(_mark_live(rows, scan, n), sums, restart=is_clear(n))
-
-    rows = in_order(_needed(numbers, layout, n), layout, steps)
+    rows = _live(numbers, layout, n, _since_clear(n))
     position = layout.position()
     per_key = rows.groupBy(*layout.keys).agg(
         F.sum(F.when(live, F.col(n))).alias("sum"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import QUIT_TOKEN, parse_marked, split_tokens
-from tidemark.plans import Layout, segmented_scan
+from tidemark.plans import Layout, Pass, ordered_scan
 
 
 def words(lines: DataFrame, line: str = "value", word: str = "word") -> DataFrame:
@@ -36,5 +36,7 @@ def take_until(
     stream: DataFrame, layout: Layout, tok: str = "tok", marker: str = QUIT_TOKEN
 ) -> DataFrame:
     """Rows of each key before its first marker token."""
-    scanned = segmented_scan(stream, layout, {}, restart=F.col(tok) == marker, seen="ended")
+    scanned = ordered_scan(
+        stream, layout, Pass(restart=F.col(tok) == marker, seen="ended")
+    )
     return scanned.filter(~F.col("ended")).drop("ended")

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import CLEAR_WORDS_TOKEN
-from tidemark.plans import Layout, in_order, segmented_scan
+from tidemark.plans import Layout, Pass, in_order, ordered_scan
+from tidemark.session import scratch_folder
 
 
 def _mark_clears(rows, scan, word):
     """Adds `clears`: true where a clearing token empties the list."""
     clearing = F.col(word) == CLEAR_WORDS_TOKEN
-    rows = scan(rows, {"run": clearing.cast("bigint")}, restart=~clearing, seen="filled")
+    rows = scan(rows, Pass({"run": clearing.cast("bigint")}, restart=~clearing, seen="filled"))
     odd = F.col("run") % 2 == 1
     return rows.withColumn("clears", clearing & (odd == F.col("filled"))).drop("run", "filled")
 
@@ -34,7 +35,7 @@ def vocabulary(stream: DataFrame, layout: Layout, word: str = "word") -> DataFra
 
     def steps(rows, scan):
         marked = _mark_clears(rows, scan, word)
-        return scan(marked, {}, restart=F.col("clears"), seen="dead", descending=True)
+        return scan(marked, Pass(restart=F.col("clears"), seen="dead", descending=True))
 
     rows = stream.select(*layout.keys, *layout.order, word)
     live = in_order(rows, layout, steps).filter(~F.col("dead"))
@@ -46,6 +47,16 @@ def vocabulary(stream: DataFrame, layout: Layout, word: str = "word") -> DataFra
     else:
         first = [F.col("first").alias(layout.order[0])]
     entries = entries.select(*layout.keys, word, "count", *first)
+    if layout.heavy:
+        entries = _written(entries)
     # A key has no more entries than tokens, so the layout fits them too.
-    placed = segmented_scan(entries, layout, {"place": F.lit(1)}, placed=True)
+    placed = ordered_scan(entries, layout, Pass({"place": F.lit(1)}), placed=True)
     return placed.select(*layout.keys, (F.col("place") - 1).alias("pos"), word, "count")
+
+
+def _written(entries: DataFrame) -> DataFrame:
+    """The entries from a table: a scan that splits keys reads its input three times."""
+    spark = entries.sparkSession
+    folder = scratch_folder(spark, "entries")
+    entries.write.parquet(folder)
+    return spark.read.schema(entries.schema).parquet(folder)

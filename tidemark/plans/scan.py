@@ -17,44 +17,46 @@ carry of the heavy keys read one and the same exchange.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.layout import Layout
 
-EPOCH = "__epoch"
-RESTART = "__restart"
 KEY = "__key"
 CHUNK = "__chunk"
-CARRIED = "__carried_"
 
-Scan = Callable[..., DataFrame]
 
+@dataclass(frozen=True)
+class Pass:
+    """One way through the rows of each key.
 
-def segmented_scan(
-    df: DataFrame,
-    layout: Layout,
-    sums: Mapping[str, Column],
-    restart: Column | None = None,
-    seen: str | None = None,
-    descending: bool = False,
-    placed: bool = False,
-) -> DataFrame:
-    """`df` with running sums per key, in order, since the last restart row.
-
-    sums: new column -> integral value to add up.  The value of a restart row
-      is the first of its segment; make it 0 to leave the row out.
+    sums: new column -> integral value, added up since, and with, the last
+      restart row; make it 0 on restart rows to leave them out.
+    previous: new column -> value, taken from the row before, restarts or not;
+      null on the first row.
     restart: true on rows where the sums start again; none means never.
-    seen: optional new column, true from the first restart row of the key on.
+    seen: new column, true from the first restart row of the key on.
     descending: go through the order from its end.
-    placed: the rows of a light key are together already.
     """
 
-    def step(rows, scan):
-        return scan(rows, sums, restart, seen, descending)
+    sums: Mapping[str, Column] = field(default_factory=dict)
+    restart: Column | None = None
+    seen: str | None = None
+    descending: bool = False
+    previous: Mapping[str, Column] = field(default_factory=dict)
 
-    return in_order(df, layout, step, placed)
+
+Scan = Callable[..., DataFrame]
+
+
+def ordered_scan(df: DataFrame, layout: Layout, *passes: Pass, placed: bool = False) -> DataFrame:
+    """`df` with the columns of independent passes.
+
+    placed: the rows of a light key are together already.
+    """
+    return in_order(df, layout, lambda rows, scan: scan(rows, *passes), placed)
 
 
 def in_order(
@@ -63,10 +65,12 @@ def in_order(
     steps: Callable[[DataFrame, Scan], DataFrame],
     placed: bool = False,
 ) -> DataFrame:
-    """Run `steps`, one or more scans in a row, behind a single exchange.
+    """Run `steps`, one or more scans that build on each other, behind one exchange.
 
-    `steps(rows, scan)` may filter rows and add columns between its scans;
-    `scan` takes the arguments of `segmented_scan` without the layout.
+    `steps(rows, scan)` may filter rows and add columns between its scans, and
+    calls `scan(rows, *passes)`.  Every further scan of heavy keys repeats the
+    windows, not the exchange, of those before it; so put independent passes
+    into one scan.
     """
     if not layout.heavy:
         return steps(df if placed else _placed(df, layout.keys), _whole_groups(layout))
@@ -91,67 +95,105 @@ def _placed(df, columns):
 
 
 def _whole_groups(layout):
-    def scan(df, sums, restart=None, seen=None, descending=False):
-        order = _order(layout.order, descending)
-        rows = _scan(df, list(layout.keys), order, sums, restart)
-        return _finish(rows, seen)
+    def scan(df, *passes):
+        df = _local(df, list(layout.keys), layout.order, passes)
+        return _finish(df, passes)
 
     return scan
 
 
 def _split_groups(layout):
-    def scan(df, sums, restart=None, seen=None, descending=False):
-        group = [KEY] if layout.keys else []
-        local = _scan(df, [*group, CHUNK], _order(layout.order, descending), sums, restart)
-        carry = _carry(local, group, layout, sums, descending)
-        rows = local.join(carry, [*group, CHUNK])
-        first = F.col(EPOCH) == 0
-        added = {
-            name: F.col(name) + F.when(first, F.col(CARRIED + name)).otherwise(0) for name in sums
-        }
-        added[EPOCH] = F.col(EPOCH) + F.col(CARRIED + EPOCH)
-        return _finish(rows.withColumns(added).drop(*[CARRIED + c for c in added]), seen)
+    group = [KEY] if layout.keys else []
+
+    def scan(df, *passes):
+        local = _local(df, [*group, CHUNK], layout.order, passes)
+        rows = local.join(_carry(local, group, layout, passes), [*group, CHUNK])
+        for i, p in enumerate(passes):
+            first = F.col(_epoch(i)) == 0
+            added = {
+                s: F.col(s) + F.when(first, F.col(_carried(s))).otherwise(0) for s in p.sums
+            }
+            for name in p.previous:
+                opening = F.col(_opens(i))
+                added[name] = F.when(opening, F.col(_carried(name))).otherwise(F.col(name))
+            added[_epoch(i)] = F.col(_epoch(i)) + F.col(_carried(_epoch(i)))
+            rows = rows.withColumns(added).drop(*[_carried(c) for c in added])
+        return _finish(rows, passes)
 
     return scan
 
 
-def _finish(rows, seen):
-    if seen:
-        rows = rows.withColumn(seen, F.col(EPOCH) > 0)
-    return rows.drop(EPOCH)
+def _epoch(i):
+    return f"__epoch{i}"
 
 
-def _order(columns, descending):
-    return [F.desc(c) if descending else F.asc(c) for c in columns]
+def _opens(i):
+    return f"__opens{i}"
 
 
-def _running(group, order):
-    window = Window.partitionBy(*group).orderBy(*order)
-    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _carried(name):
+    return f"__carried_{name}"
+
+
+def _finish(rows, passes):
+    for i, p in enumerate(passes):
+        if p.seen:
+            rows = rows.withColumn(p.seen, F.col(_epoch(i)) > 0)
+        rows = rows.drop(_epoch(i), _opens(i))
+    return rows
+
+
+def _ordered(group, columns, descending):
+    order = [F.desc(c) if descending else F.asc(c) for c in columns]
+    return Window.partitionBy(*group).orderBy(*order)
+
+
+def _local(df, group, order, passes):
+    """All passes within each group; adds the restarts so far of each as an epoch."""
+    for i, p in enumerate(passes):
+        window = _ordered(group, order, p.descending)
+        df = df.withColumn(_epoch(i), _restarts(p.restart, window))
+        added = {name: F.lag(v).over(window) for name, v in p.previous.items()}
+        if added:
+            added[_opens(i)] = F.row_number().over(window) == 1
+        if p.restart is not None:
+            window = _ordered([*group, _epoch(i)], order, p.descending)
+        added |= {
+            name: F.sum(F.coalesce(v.cast("bigint"), F.lit(0))).over(_so_far(window))
+            for name, v in p.sums.items()
+        }
+        df = df.withColumns(added)
+    return df
 
 
-def _scan(df, group, order, sums, restart):
-    """Scan within each group; adds the number of restarts so far as EPOCH."""
-    values = {name: F.coalesce(v.cast("bigint"), F.lit(0)) for name, v in sums.items()}
+def _restarts(restart, window):
     if restart is None:
-        segment = _running(group, order)
-        df = df.withColumn(EPOCH, F.lit(0).cast("bigint"))
-    else:
-        restarts = F.when(restart, F.lit(1)).otherwise(0).cast("bigint")
-        segment = _running([*group, EPOCH], order)
-        df = df.withColumn(EPOCH, F.sum(restarts).over(_running(group, order)))
-    return df.withColumns({name: F.sum(v).over(segment) for name, v in values.items()})
+        return F.lit(0).cast("bigint")
+    return F.sum(F.when(restart, F.lit(1)).otherwise(0).cast("bigint")).over(_so_far(window))
 
 
-def _carry(local, group, layout, sums, descending):
+def _so_far(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _carry(local, group, layout, passes):
     """One row per key and chunk with what the earlier chunks of the key leave over."""
-    at_end = F.min_by if descending else F.max_by
-    ends = local.groupBy(*group, CHUNK).agg(
-        F.max(EPOCH).alias(RESTART), *[at_end(name, layout.position()).alias(name) for name in sums]
-    )
-    order = _order([CHUNK], descending)
-    ends = _scan(ends, group, order, {name: F.col(name) for name in sums}, F.col(RESTART) > 0)
-    before = Window.partitionBy(*group).orderBy(*order)
-    return ends.select(
-        *group, CHUNK, *[F.lag(c, 1, 0).over(before).alias(CARRIED + c) for c in (EPOCH, *sums)]
-    )
+    position = layout.position()
+    ends = [F.count("*").alias("__rows")]
+    for i, p in enumerate(passes):
+        last = F.min_by if p.descending else F.max_by
+        ends.append(F.max(_epoch(i)).alias(_epoch(i)))
+        ends += [last(s, position).alias(s) for s in p.sums]
+        ends += [last(v, position).alias(name) for name, v in p.previous.items()]
+    table = local.groupBy(*group, CHUNK).agg(*ends)
+    carried = []
+    for i, p in enumerate(passes):
+        window = _ordered(group, [CHUNK], p.descending)
+        epoch = f"__chunks{i}"
+        table = table.withColumn(epoch, _restarts(F.col(_epoch(i)) > 0, window))
+        segment = _so_far(_ordered([*group, epoch], [CHUNK], p.descending))
+        table = table.withColumns({s: F.sum(s).over(segment) for s in p.sums})
+        before = {_epoch(i): epoch} | {s: s for s in p.sums}
+        carried += [F.lag(c, 1, 0).over(window).alias(_carried(n)) for n, c in before.items()]
+        carried += [F.lag(c).over(window).alias(_carried(c)) for c in p.previous]
+    return table.select(*group, CHUNK, *carried)
