@@ -195,6 +195,13 @@ def test_words_of_a_text_stream(spark, tmp_path):
     got = dict(state.read_state(spark, cp).select("key.word", "value.count").collect())
     assert got == {"I": 1, "am": 1, "sumeet": 2, "khillare": 2, "ok": 4, "": 1, "clear": 1}
 
+    def count_of(word, **options):
+        return tuple(state.lookup_aggregate(spark, cp, word, **options).first())
+
+    assert count_of("ok") == (4, True) and count_of("ok", batch=0) == (3, True)
+    assert count_of("OK ") == (None, False) and count_of("OK ", normalise=True) == (4, True)
+    assert count_of("I") == (1, True) and count_of("I", normalise=True) == (None, False)
+
 
 def test_numbers_of_an_ordered_text_stream(spark, tmp_path):
     folder = tmp_path / "text"

@@ -28,8 +28,10 @@ HEAVY = 8
 # Bins of the histogram, and chunks per key at most, as powers of two.
 BIN_BITS = 12
 CHUNK_BITS = 20
+# Heavy rows are sparse when their order spans more than this multiple of them.
+SPARSE = 16
 # Groups below this many rows are never worth splitting.
-GROUP_ROWS = 1 << 22
+GROUP_ROWS = 1 << 21
 
 
 def names(columns: str | Sequence[str]) -> tuple[str, ...]:
@@ -83,11 +85,15 @@ def measure(
     """Layout for `df`, from one pass over its key and first order column.
 
     Runs a Spark job.  A slot is heavy when it holds more rows than both
-    `group_rows` and `HEAVY` mean slots.  Where one is, a second job takes a
-    histogram of the order of the heavy rows, and the chunks become so narrow
-    that one in the densest part holds about `group_rows` rows; elsewhere they
-    hold fewer.  `min_parts` lowers `group_rows` for small inputs, so that a
-    stream of all rows is cut into about that many chunks at least.
+    `group_rows` and `HEAVY` mean slots.
+
+    The order is unique within a key, so chunks that span `group_rows` values
+    hold no more rows than that.  Where the heavy rows are too sparse for it, as
+    with timestamps, a second job takes a histogram of their order, and chunks
+    become so wide that one in the densest part holds about `group_rows` rows.
+
+    `min_parts` lowers `group_rows` for small inputs, so that a stream of all
+    rows is cut into about that many chunks at least.
     """
     keys, order = names(keys), names(order)
     rows = df.select(
@@ -106,13 +112,19 @@ def measure(
         return Layout(keys, order, low=low)
     found = tuple(sorted(row["slot"] for row in heavy))
     span = max(row["high"] for row in heavy) - min(row["low"] for row in heavy) + 1
+    width = group_rows
+    if span > SPARSE * sum(row["n"] for row in heavy):
+        width = max(width, _sparse_width(rows, found, span, group_rows))
+    return Layout(keys, order, found, width.bit_length() - 1, low)
+
+
+def _sparse_width(rows: DataFrame, slots: tuple[int, ...], span: int, group_rows: int) -> int:
     bin_bits = max(0, span.bit_length() - BIN_BITS)
     densest = (
-        rows.filter(F.col("slot").isin(list(found)))
+        rows.filter(F.col("slot").isin(list(slots)))
         .groupBy(F.shiftright("position", bin_bits).alias("bin"))
-        .count()
+        .count()  # at most 2**BIN_BITS + 1 rows
         .agg(F.max("count").alias("n"))
         .first()["n"]
     )
-    width = max(1, (group_rows << bin_bits) // densest, span >> CHUNK_BITS)
-    return Layout(keys, order, found, width.bit_length() - 1, low)
+    return max((group_rows << bin_bits) // densest, span >> CHUNK_BITS)

@@ -24,7 +24,9 @@ SEGMENT = 8192
 
 
 def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(rows, ignore_index=True).sort_values(order, ignore_index=True)
+    parts = list(rows)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return batch.sort_values(order, ignore_index=True)
 
 
 def _sums_since(values: np.ndarray, restart: np.ndarray, carried: int) -> np.ndarray:
@@ -91,14 +93,14 @@ class ResettableSum(StatefulProcessor):
         batch = _sorted(rows, self.order)
         n = batch["n"].to_numpy(dtype=np.int64)
         clear = n == CLEAR
-        total, size = self.value.get() if self.value.exists() else (0, 0)
+        total, size = self.value.get() or (0, 0)
         sums = _sums_since(np.where(clear, 0, n), clear, total)
+        tail = n
         if clear.any():
-            size = 0
-            self._clear()
             tail = n[np.flatnonzero(clear)[-1] + 1 :]
-        else:
-            tail = n
+            if size:
+                self._clear()
+            size = 0
         entry = ",".join(str(part) for part in key)
         if len(tail):
             total = int(sums[-1])
@@ -109,13 +111,13 @@ class ResettableSum(StatefulProcessor):
         else:
             total = 0
         self.value.update((total, size + len(tail)))
-        emitted = batch.loc[~clear, self.keys + self.order].assign(total=sums[~clear])
-        if len(emitted):
-            self.latest.update((int(emitted["total"].iloc[-1]),))
-            yield emitted
+        given = ~clear
+        if given.any():
+            self.latest.update((int(sums[given][-1]),))
+            yield batch.loc[given, self.keys + self.order].assign(total=sums[given])
 
     def _clear(self) -> None:
-        self.value.clear()
+        """Clears every state but the last emitted sum; the value is overwritten."""
         self.entries.clear()
         self.reduced.clear()
         if self.items:
@@ -140,7 +142,7 @@ class RunningAverage(StatefulProcessor):
         batch = _sorted(rows, self.order)
         n = batch["n"].to_numpy(dtype=np.int64)
         clear = n == CLEAR
-        total, size = self.value.get() if self.value.exists() else (0, 0)
+        total, size = self.value.get() or (0, 0)
         totals = _sums_since(np.where(clear, 0, n), clear, total)
         sizes = _sums_since((~clear).astype(np.int64), clear, size)
         self.value.update((int(totals[-1]), int(sizes[-1])))
@@ -168,7 +170,7 @@ class Vocabulary(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         batch = _sorted(rows, self.order)
         clearing = (batch["word"] == CLEAR_WORDS_TOKEN).to_numpy()
-        size = self.size.get()[0] if self.size.exists() else 0
+        [size] = self.size.get() or (0,)
         # The list counts as filled by an earlier word, or as empty, at the start.
         run = _sums_since(clearing.astype(np.int64), ~clearing, 0)
         filled = np.logical_or.accumulate(~clearing) | (size > 0)
@@ -179,10 +181,8 @@ class Vocabulary(StatefulProcessor):
             size = 0
             live = live.iloc[np.flatnonzero(clears)[-1] + 1 :]
         for word, count in live.groupby(live, sort=False).size().items():
-            if self.words.containsKey((word,)):
-                before, pos = self.words.getValue((word,))
-            else:
-                before, pos = 0, size
+            before, pos = self.words.getValue((word,)) or (0, size)
+            if not before:
                 size += 1
             self.words.updateValue((word,), (before + int(count), pos))
         self.size.update((size,))

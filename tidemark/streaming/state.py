@@ -169,6 +169,28 @@ def _of_key(spark, checkpoint, name, parts, batch):
     )
 
 
+def lookup_aggregate(
+    spark: SparkSession,
+    checkpoint: str,
+    key: object,
+    normalise: bool = False,
+    batch: int | None = None,
+) -> DataFrame:
+    """One key of a built-in aggregate, such as a word count: (value, found).
+
+    Words are counted as they come, so with `normalise` a word with capitals is
+    not found.
+    """
+    key = normalised(key) if normalise else key
+    state = read_state(spark, checkpoint, batch=batch)
+    [name], [value] = state.schema["key"].dataType.names, state.schema["value"].dataType.names
+    rows = state.filter(F.col(f"key.{name}") == F.lit(key))
+    # An aggregate without groups gives one row, also where there is no such key.
+    return rows.agg(
+        F.first(f"value.{value}").alias("value"), (F.count("*") > 0).alias("found")
+    )
+
+
 def snapshot(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """All five states of every key: (state_name, keys, pos, map_key, value, found)."""
     state = read_state(spark, checkpoint, "value_query", batch)
