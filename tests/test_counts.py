@@ -1,9 +1,10 @@
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import counts, tokens
+from tidemark.operators import counts, keyed, tokens
 from tidemark.plans import measure
 from tidemark.sources import text
 
@@ -50,26 +51,41 @@ def test_tumbling_count(table):
     assert {r["count"] for r in counts.tumbling_count(df).collect()} == {1, 2}
 
 
-def test_ordered_lines_of_a_split_file(spark, tmp_path):
-    lines = [f"line {i} " + "x" * (i % 7) for i in range(3000)] + ["", "", "end"]
-    path = tmp_path / "long.txt"
-    path.write_text("\n".join(lines))
+@pytest.fixture
+def small_splits(spark):
     setting = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "4096")
-    try:
-        ordered = text.read_ordered_lines(spark, str(path))
-        splits = spark.read.text(str(path)).select("_metadata.file_block_start").distinct()
-        assert splits.count() > 5
-        got = ordered.orderBy("line").collect()
-    finally:
-        spark.conf.set(setting, before)
+    yield
+    spark.conf.set(setting, before)
+
+
+def test_ordered_lines_of_a_split_file(spark, tmp_path, small_splits):
+    lines = [f"line {i} " + "x" * (i % 7) for i in range(3000)] + ["", "", "end"]
+    path = tmp_path / "long.txt"
+    path.write_text("\n".join(lines))
+    got = text.read_ordered_lines(spark, str(path)).orderBy(*text.LINE_ORDER).collect()
     assert [r.value for r in got] == lines
-    assert len({r.line for r in got}) == len(lines)
-    (tmp_path / "blank.txt").write_text("\n" * 50)
-    spark.conf.set(setting, "8")
-    try:
-        blank = text.read_ordered_lines(spark, str(tmp_path / "blank.txt")).collect()
-    finally:
-        spark.conf.set(setting, before)
-    assert len({r.line for r in blank}) == len(blank) == 50
+    assert len({r.start for r in got}) > 5
+
+
+@pytest.mark.parametrize("group_rows", [10**6, 100])
+def test_sums_over_text_files_in_order(spark, tmp_path, small_splits, group_rows):
+    rng = random.Random(5)
+    for name, size in (("a", 4000), ("b", 30)):
+        items = [rng.choice(["clear", "x", *"123456789"]) for _ in range(size)]
+        lines = [" ".join(items[i : i + 5]) for i in range(0, size, 5)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines))
+    files = [str(tmp_path / f"{name}.txt") for name in "ab"]
+    numbers = tokens.numbers(tokens.tokens(text.read_ordered_lines(spark, files)))
+    layout = measure(numbers, "file", text.TOKEN_ORDER, group_rows=group_rows)
+    assert bool(layout.heavy) == (group_rows == 100)
+    sums = keyed.resettable_sum(numbers, layout).orderBy("file", *text.TOKEN_ORDER)
+    want = []
+    for path in files:
+        total = 0
+        for token in open(path).read().split():
+            total = 0 if token == "clear" else total + int(token) if token != "x" else total
+            if token not in ("clear", "x"):
+                want.append((int(token), total))
+    assert [(r.n, r.total) for r in sums.collect()] == want

@@ -87,10 +87,11 @@ def measure(
     Runs a Spark job.  A slot is heavy when it holds more rows than both
     `group_rows` and `HEAVY` mean slots.
 
-    The order is unique within a key, so chunks that span `group_rows` values
-    hold no more rows than that.  Where the heavy rows are too sparse for it, as
-    with timestamps, a second job takes a histogram of their order, and chunks
-    become so wide that one in the densest part holds about `group_rows` rows.
+    A single order column is unique within a key, so chunks that span `group_rows`
+    values hold no more rows than that.  Where the heavy rows are too sparse for
+    it, as with timestamps, or have several order columns, a second job takes a
+    histogram of the first one, and chunks become so wide that one in the
+    densest part holds about `group_rows` rows.
 
     `min_parts` lowers `group_rows` for small inputs, so that a stream of all
     rows is cut into about that many chunks at least.
@@ -112,13 +113,15 @@ def measure(
         return Layout(keys, order, low=low)
     found = tuple(sorted(row["slot"] for row in heavy))
     span = max(row["high"] for row in heavy) - min(row["low"] for row in heavy) + 1
+    unique = len(order) == 1
     width = group_rows
-    if span > SPARSE * sum(row["n"] for row in heavy):
-        width = max(width, _sparse_width(rows, found, span, group_rows))
+    if not unique or span > SPARSE * sum(row["n"] for row in heavy):
+        measured = _measured_width(rows, found, span, group_rows)
+        width = max(measured, group_rows if unique else 1)
     return Layout(keys, order, found, width.bit_length() - 1, low)
 
 
-def _sparse_width(rows: DataFrame, slots: tuple[int, ...], span: int, group_rows: int) -> int:
+def _measured_width(rows: DataFrame, slots: tuple[int, ...], span: int, group_rows: int) -> int:
     bin_bits = max(0, span.bit_length() - BIN_BITS)
     densest = (
         rows.filter(F.col("slot").isin(list(slots)))

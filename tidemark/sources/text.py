@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of one or more text files, unordered: (value).
 
     A line ends at `\\n` only; a carriage return stays and counts as a blank.
@@ -14,27 +14,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their order: (file, line, value), `line` rising within a file.
+# Order columns of the lines of a file, and of the tokens in them.
+LINE_ORDER = ("start", "arrival")
+TOKEN_ORDER = (*LINE_ORDER, "pos")
 
-    Large files stay split.  Rows of a split come in file order, so they are
-    numbered within their split; a line takes at least one byte, so the split's
-    byte offset plus that number rises over the whole file.  (The first split
-    may hold one line more than it has bytes, hence the added one elsewhere.)
+
+def read_ordered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with their order in their file: (file, start, arrival, value).
+
+    Large files stay split and nothing is shuffled: splits are ordered by the
+    byte at which they start, and rows come out of a split in file order.  The
+    numbers in `arrival` hold within one query only.
     """
-    lines = read_lines(spark, path).select(
+    return read_lines(spark, path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("arrival"),
         "value",
     )
-    in_split = Window.partitionBy("file", "start").orderBy("arrival")
-    first = (F.col("start") == 0).cast("bigint")
-    return lines.select(
-        "file",
-        (F.col("start") + F.row_number().over(in_split) - first).alias("line"),
-        "value",
-    )
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
