@@ -184,8 +184,12 @@ def accepted_words(spark, sf):
 # --- streaming queries ------------------------------------------------------
 
 
+# Stateful streams hold a key's share of a batch in a task, so batches are bounded.
+FILES_PER_BATCH = 16
+
+
 def _stream_numbers(spark, sf):
-    return tokens.numbers(event_tokens(stream_events(spark, sf)))
+    return tokens.numbers(event_tokens(stream_events(spark, sf, FILES_PER_BATCH)))
 
 
 def _folders(spark):
@@ -203,7 +207,10 @@ def stream_word_count(spark, sf):
 
 
 def stream_tumbling_count(spark, sf):
-    """Windows that the stream has closed, and those still open in its state."""
+    """Windows that the stream has closed, and those still open in its state.
+
+    In one batch, since files of a table need not come in the order of time.
+    """
     checkpoint, output = _folders(spark)
     stream = streams.tumbling_count(stream_events(spark, sf), "event_type")
     run.run_available(run.to_table(stream, output), checkpoint)
@@ -261,7 +268,7 @@ def stream_running_avg(spark, sf):
 
 def stream_vocabulary(spark, sf):
     checkpoint, _ = _folders(spark)
-    words = _event_words(stream_events(spark, sf))
+    words = _event_words(stream_events(spark, sf, FILES_PER_BATCH))
     run.run_available(run.to_state(streams.vocabulary(words), "append"), checkpoint)
     return state.vocabulary(spark, checkpoint)
 

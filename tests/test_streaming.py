@@ -102,6 +102,14 @@ def test_fault_and_restart(spark, source):
     assert past == [12, 4, 160]
 
 
+@pytest.mark.parametrize("operator", [streams.resettable_sum, streams.running_average])
+def test_batches_out_of_order_fail(source, operator):
+    source.drop([(1, 5, 1), (1, 7, 1)])
+    source.drop([(1, 6, 1), (1, 8, 1)])
+    with pytest.raises(Exception, match="batch out of order"):
+        run_available(to_table(operator(source.stream()), source.out), source.checkpoint)
+
+
 def test_lookup(spark, source):
     key = "key string, seq bigint, n bigint"
     source.drop([("a", 0, 1), ("a", 1, 2), ("b", 2, 5), ("b", 3, -1)], key)

@@ -17,14 +17,18 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str, files_per_batch: int = 64) -> DataFrame:
-    """The events table as a stream, `files_per_batch` files at a time."""
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events*.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def stream_events(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The events table, one file or a folder of them, as a stream.
+
+    Without `files_per_batch` a batch is all that has arrived.
+    """
+    reader = spark.readStream.schema(EVENTS)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # A pattern, since a stream takes a plain path for a folder.
+    return reader.parquet(f"{folder}/events.parque[t]")
 
 
 def event_tokens(events: DataFrame) -> DataFrame:

@@ -47,11 +47,16 @@ def last_input(numbers: DataFrame, keys: str | Sequence[str], order: str = "seq"
     return given.groupBy(*names(keys)).agg(F.max_by("n", order).alias("value"))
 
 
-def _apply(stream, processor, keys, order, columns, result):
+def _apply(stream, processor, keys, order, columns, result, **options):
+    keys, order = list(names(keys)), list(names(order))
     rows = stream.select(*keys, *order, *columns)
+    kinds = dict(rows.dtypes)
     kept = [f for f in rows.schema.fields if f.name in (*keys, *order)]
     return rows.groupBy(*keys).transformWithStateInPandas(
-        processor, StructType([*kept, *result]), "Append", "None"
+        processor(keys, [(c, kinds[c]) for c in order], **options),
+        StructType([*kept, result]),
+        "Append",
+        "None",
     )
 
 
@@ -62,24 +67,21 @@ def resettable_sum(
     keep_list: bool = True,
 ) -> DataFrame:
     """Each number with the sum since the last clear: (keys, order, total)."""
-    keys, order = list(names(keys)), list(names(order))
     total = StructField("total", LongType())
-    return _apply(numbers, ResettableSum(keys, order, keep_list), keys, order, ["n"], [total])
+    return _apply(numbers, ResettableSum, keys, order, ["n"], total, keep_list=keep_list)
 
 
 def running_average(
     numbers: DataFrame, keys: str | Sequence[str] = "key", order: str | Sequence[str] = "seq"
 ) -> DataFrame:
     """Average since the last clear, from the second number on: (keys, order, avg)."""
-    keys, order = list(names(keys)), list(names(order))
     avg = StructField("avg", DoubleType())
-    return _apply(numbers, RunningAverage(keys, order), keys, order, ["n"], [avg])
+    return _apply(numbers, RunningAverage, keys, order, ["n"], avg)
 
 
 def vocabulary(
     stream: DataFrame, keys: str | Sequence[str] = "key", order: str | Sequence[str] = "seq"
 ) -> DataFrame:
     """Every stored word; the state holds the counted word list of each key."""
-    keys, order = list(names(keys)), list(names(order))
     word = StructField("word", StringType())
-    return _apply(stream, Vocabulary(keys, order), keys, order, ["word"], [word])
+    return _apply(stream, Vocabulary, keys, order, ["word"], word)

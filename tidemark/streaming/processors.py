@@ -1,9 +1,11 @@
 """State per key, updated batch by batch.
 
-A key's rows of one batch are worked on together with numpy, in their order;
-batches must arrive in order.  So a task holds at most one key's share of one
-batch, which the source bounds by its files per batch.  Each state is written
-once per key and batch.
+A key's rows of one batch are worked on together with numpy, in their order.
+So a task holds at most one key's share of one batch, which the source bounds
+by its files per batch.  Each state is written once per key and batch.
+
+Batches must arrive in order: the order of a key's last row is kept with its
+state, and a later batch that does not lie wholly behind it fails the query.
 """
 
 from __future__ import annotations
@@ -29,6 +31,23 @@ def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     return batch.sort_values(order, ignore_index=True)
 
 
+def _place(batch: pd.DataFrame, order: list[str], row: int) -> tuple:
+    """The order of one row, as plain Python values."""
+    values = (batch[c].iloc[row] for c in order)
+    return tuple(v.item() if isinstance(v, np.generic) else v for v in values)
+
+
+def _follows(batch: pd.DataFrame, order: list[str], last: tuple) -> tuple:
+    """The place of the last row; fails unless all rows lie behind `last`."""
+    if last and _place(batch, order, 0) <= tuple(last):
+        raise ValueError(f"batch out of order: {_place(batch, order, 0)} after {tuple(last)}")
+    return _place(batch, order, -1)
+
+
+def _fields(order: list[tuple[str, str]]) -> str:
+    return "".join(f", at_{name} {kind}" for name, kind in order)
+
+
 def _sums_since(values: np.ndarray, restart: np.ndarray, carried: int) -> np.ndarray:
     """Running sums since, and with, the last restart row; `carried` counts before the first."""
 
@@ -72,16 +91,17 @@ class SegmentedList:
 class ResettableSum(StatefulProcessor):
     """Emits (keys, order, total) per number; keeps the five states of a key.
 
-    value_query (n, size) is the current sum and length, (0, 0) after a clear;
+    value_query (n, size, order) is the current sum and length, both 0 after a clear;
     list_query the numbers; map_query one entry; reduce_query nothing after a
     clear; keyed_query the last emitted sum, which a clear leaves alone.
     """
 
-    def __init__(self, keys: list[str], order: list[str], keep_list: bool = True):
-        self.keys, self.order, self.keep_list = keys, order, keep_list
+    def __init__(self, keys: list[str], order: list[tuple[str, str]], keep_list: bool = True):
+        self.keys, self.order, self.keep_list = keys, [name for name, _ in order], keep_list
+        self.fields = _fields(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("value_query", "n bigint, size bigint")
+        self.value = handle.getValueState("value_query", f"n bigint, size bigint{self.fields}")
         self.entries = handle.getMapState("map_query", "map_key string", "n bigint")
         self.reduced = handle.getValueState("reduce_query", "n bigint")
         self.latest = handle.getValueState("keyed_query", "n bigint")
@@ -93,7 +113,8 @@ class ResettableSum(StatefulProcessor):
         batch = _sorted(rows, self.order)
         n = batch["n"].to_numpy(dtype=np.int64)
         clear = n == CLEAR
-        total, size = self.value.get() or (0, 0)
+        total, size, *last = self.value.get() or (0, 0)
+        last = _follows(batch, self.order, last)
         sums = _sums_since(np.where(clear, 0, n), clear, total)
         tail = n
         if clear.any():
@@ -110,7 +131,7 @@ class ResettableSum(StatefulProcessor):
                 self.items.add_all(size, tail.tolist())
         else:
             total = 0
-        self.value.update((total, size + len(tail)))
+        self.value.update((total, size + len(tail), *last))
         given = ~clear
         if given.any():
             self.latest.update((int(sums[given][-1]),))
@@ -130,11 +151,12 @@ class RunningAverage(StatefulProcessor):
     Sum and length stand in for the list, which the average alone needs not.
     """
 
-    def __init__(self, keys: list[str], order: list[str]):
-        self.keys, self.order = keys, order
+    def __init__(self, keys: list[str], order: list[tuple[str, str]]):
+        self.keys, self.order = keys, [name for name, _ in order]
+        self.fields = _fields(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("avg", "total bigint, size bigint")
+        self.value = handle.getValueState("avg", f"total bigint, size bigint{self.fields}")
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
@@ -142,10 +164,11 @@ class RunningAverage(StatefulProcessor):
         batch = _sorted(rows, self.order)
         n = batch["n"].to_numpy(dtype=np.int64)
         clear = n == CLEAR
-        total, size = self.value.get() or (0, 0)
+        total, size, *last = self.value.get() or (0, 0)
+        last = _follows(batch, self.order, last)
         totals = _sums_since(np.where(clear, 0, n), clear, total)
         sizes = _sums_since((~clear).astype(np.int64), clear, size)
-        self.value.update((int(totals[-1]), int(sizes[-1])))
+        self.value.update((int(totals[-1]), int(sizes[-1]), *last))
         keep = ~clear & (sizes >= 2)
         if keep.any():
             averages = totals[keep].astype(float) / sizes[keep].astype(float)
@@ -158,19 +181,21 @@ class Vocabulary(StatefulProcessor):
     One map entry per word: a batch touches the words it brings, not the list.
     """
 
-    def __init__(self, keys: list[str], order: list[str]):
-        self.keys, self.order = keys, order
+    def __init__(self, keys: list[str], order: list[tuple[str, str]]):
+        self.keys, self.order = keys, [name for name, _ in order]
+        self.fields = _fields(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.words = handle.getMapState("wc", "word string", "count bigint, pos bigint")
-        self.size = handle.getValueState("size", "n bigint")
+        self.size = handle.getValueState("size", f"n bigint{self.fields}")
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
     ) -> Iterator[pd.DataFrame]:
         batch = _sorted(rows, self.order)
         clearing = (batch["word"] == CLEAR_WORDS_TOKEN).to_numpy()
-        [size] = self.size.get() or (0,)
+        size, *last = self.size.get() or (0,)
+        last = _follows(batch, self.order, last)
         # The list counts as filled by an earlier word, or as empty, at the start.
         run = _sums_since(clearing.astype(np.int64), ~clearing, 0)
         filled = np.logical_or.accumulate(~clearing) | (size > 0)
@@ -185,7 +210,7 @@ class Vocabulary(StatefulProcessor):
             if not before:
                 size += 1
             self.words.updateValue((word,), (before + int(count), pos))
-        self.size.update((size,))
+        self.size.update((size, *last))
         stored = batch.loc[~clears, self.keys + self.order + ["word"]]
         if len(stored):
             yield stored
