@@ -160,6 +160,9 @@ def test_overflow_fails(table):
     big = table(stream(2**62, -1, 2**62, -1, 2**62), SCHEMA)
     sums = keyed.resettable_sum(big, Layout(("key",), ("seq",)))
     assert {r.total for r in sums.collect()} == {2**62}
+    edge = table(stream(-(2**63), 2**63 - 1, 5, -1, 2**63 - 1, -(2**63), -7), SCHEMA)
+    sums = keyed.resettable_sum(edge, Layout(("key",), ("seq",))).orderBy("seq")
+    assert [r.total for r in sums.collect()] == [-(2**63), -1, 4, 2**63 - 1, -1, -8]
 
 
 def test_no_rows(table):

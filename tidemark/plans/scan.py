@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.layout import Layout
 
+LOW_HALF = (1 << 32) - 1
 KEY = "__key"
 CHUNK = "__chunk"
 
@@ -152,20 +153,54 @@ def _local(df, group, order, passes):
     """All passes within each group; adds the restarts so far of each as an epoch."""
     for i, p in enumerate(passes):
         window = _ordered(group, order, p.descending)
-        df = df.withColumn(_epoch(i), _restarts(p.restart, window))
-        added = {name: F.lag(v).over(window) for name, v in p.previous.items()}
-        if added:
+        added = {_epoch(i): _restarts(p.restart, window)}
+        added |= {name: F.lag(v).over(window) for name, v in p.previous.items()}
+        if p.previous:
             added[_opens(i)] = F.row_number().over(window) == 1
-        if p.restart is not None:
-            window = _ordered([*group, _epoch(i)], order, p.descending)
-        added |= {
-            name: F.sum(F.coalesce(v.cast("bigint"), F.lit(0))).over(_so_far(window))
-            for name, v in p.sums.items()
-        }
-        df = df.withColumns(added)
+        df = _sums_since(df.withColumns(added), p.sums, p.restart, window)
     return df
 
 
+def _sums_since(df, sums, restart, window):
+    """Adds running sums since, and with, the last restart row.
+
+    A sum is the difference of two running totals, so that one sort serves all
+    of them; windows per segment would need another.  The totals must not
+    overflow where the difference does not: wide values are added up as two
+    halves of 32 bits, which stay exact over 2**31 rows of a group.
+    """
+    so_far = _so_far(window)
+    values = {name: F.coalesce(v, F.lit(0)) for name, v in sums.items()}
+    if restart is None:
+        return df.withColumns({n: F.sum(v.cast("bigint")).over(so_far) for n, v in values.items()})
+    kinds = dict(df.select(*[v.alias(n) for n, v in values.items()]).dtypes)
+    wide = [n for n in values if kinds[n] == "bigint"]
+    parts = {n: v.cast("bigint") for n, v in values.items() if n not in wide}
+    for n in wide:
+        parts[f"__high_{n}"] = F.shiftright(values[n], 32)
+        parts[f"__low_{n}"] = values[n].bitwiseAND(F.lit(LOW_HALF))
+    df = df.withColumns({f"__all_{p}": F.sum(v).over(so_far) for p, v in parts.items()})
+    df = df.withColumns(
+        {
+            f"__old_{p}": F.last(F.when(restart, F.col(f"__all_{p}") - v), ignorenulls=True).over(
+                so_far
+            )
+            for p, v in parts.items()
+        }
+    )
+
+    def since(part):
+        return F.col(f"__all_{part}") - F.coalesce(f"__old_{part}", F.lit(0))
+
+    def joined(name):
+        low = since(f"__low_{name}")
+        high = since(f"__high_{name}") + F.shiftright(low, 32)
+        return high * F.lit(LOW_HALF + 1) + low.bitwiseAND(F.lit(LOW_HALF))
+
+    df = df.withColumns({n: joined(n) if n in wide else since(n) for n in values})
+    return df.drop(*[f"{side}_{p}" for p in parts for side in ("__all", "__old")])
+
+
 def _restarts(restart, window):
     if restart is None:
         return F.lit(0).cast("bigint")
@@ -191,8 +226,8 @@ def _carry(local, group, layout, passes):
         window = _ordered(group, [CHUNK], p.descending)
         epoch = f"__chunks{i}"
         table = table.withColumn(epoch, _restarts(F.col(_epoch(i)) > 0, window))
-        segment = _so_far(_ordered([*group, epoch], [CHUNK], p.descending))
-        table = table.withColumns({s: F.sum(s).over(segment) for s in p.sums})
+        ends = {name: F.col(name) for name in p.sums}
+        table = _sums_since(table, ends, F.col(_epoch(i)) > 0, window)
         before = {_epoch(i): epoch} | {s: s for s in p.sums}
         carried += [F.lag(c, 1, 0).over(window).alias(_carried(n)) for n, c in before.items()]
         carried += [F.lag(c).over(window).alias(_carried(c)) for c in p.previous]
