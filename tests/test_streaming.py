@@ -195,13 +195,13 @@ def test_tumbling_count_over_batches(spark, source, collected):
 def test_words_of_a_text_stream(spark, tmp_path):
     folder, cp = tmp_path / "text", str(tmp_path / "cp")
     folder.mkdir()
-    (folder / "a.txt").write_bytes(b"I am sumeet khillare sumeet khillare\r\nok ok ok")
+    (folder / "a.txt").write_bytes(b"I am alpha beta alpha beta\r\nok ok ok")
     words = tokens.words(text.stream_lines(spark, str(folder), files_per_batch=1))
     run_available(to_state(streams.word_count(words)), cp)
     (folder / "b.txt").write_text("ok\n\nclear")
     run_available(to_state(streams.word_count(words)), cp)
     got = dict(state.read_state(spark, cp).select("key.word", "value.count").collect())
-    assert got == {"I": 1, "am": 1, "sumeet": 2, "khillare": 2, "ok": 4, "": 1, "clear": 1}
+    assert got == {"I": 1, "am": 1, "alpha": 2, "beta": 2, "ok": 4, "": 1, "clear": 1}
 
     def count_of(word, **options):
         return tuple(state.lookup_aggregate(spark, cp, word, **options).first())
