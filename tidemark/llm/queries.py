@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, quality, tokenids, topk, warc
+from tidemark.llm import jaccard, language, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import read_table
 
@@ -27,6 +27,11 @@ def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.read(spark, path, payloads=False).drop("url", "payload")
 
 
+def op3_tiling(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold half of a test item or more, a row for each item."""
+    return tiling.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -39,6 +44,10 @@ def op4_token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenids.read(spark, path, with_ids=False)
 
 
+def op5_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.deduplicate(read_table(spark, sf, "documents"), size=20, with_text=False)
+
+
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     model = quality.train(docs, read_table(spark, sf, "labels"), "quality", remainder(3) != 1)
@@ -62,11 +71,90 @@ def op8_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.search(vectors, F.pmod("vec_id", F.lit(20)) == 0)
 
 
+def op9_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.similar(read_table(spark, sf, "documents"), size=4, percent=85)
+
+
+def quoting_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations as mails: each turn quotes the one before it, and its quote."""
+    turns = read_table(spark, sf, "conversations")
+    by_turn = Window.partitionBy("conv_id").orderBy("turn")
+
+    def quote(text, mark):
+        return F.regexp_replace(text, "(?m)^", mark)
+
+    last, older = (F.lag("text", n).over(by_turn) for n in (1, 2))
+    head = F.concat(F.lit("On turn "), F.lag("turn").over(by_turn), F.lit(" someone wrote:\n"))
+    quoted = F.concat_ws("\n", quote(older, ">> "), quote(last, "> "))
+    text = F.when(last.isNull(), F.col("text")).otherwise(F.concat(head, quoted, F.lit("\n\n"), F.coalesce("text", F.lit(""))))
+    return turns.select((F.shiftleft("conv_id", 20) + F.col("turn")).alias("msg"), F.col("conv_id").alias("thread"), text.alias("text"))
+
+
+def op10_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each turn in the conversation that its quotes put it in, without them."""
+    found = quotes.conversations(quoting_messages(spark, sf))
+    conv, turn = F.shiftright("msg", 20), F.col("msg").bitwiseAND(F.lit((1 << 20) - 1))
+    return found.select(
+        conv.alias("conv_id"),
+        turn.alias("turn"),
+        F.shiftright("root", 20).alias("root_conv_id"),
+        F.col("parent").bitwiseAND(F.lit((1 << 20) - 1)).alias("parent_turn"),
+        "depth",
+        "position",
+        "text",
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
+    "op3_tiling": op3_tiling,
     "op4_token_ids": op4_token_ids,
+    "op5_substrings": op5_substrings,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_topk": op8_topk,
+    "op9_jaccard": op9_jaccard,
+    "op10_quotes": op10_quotes,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH given AS (
+          SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        hashed AS (
+          SELECT page_id, octet_length(payload) AS n, sha1(payload) AS hex FROM given),
+        coded AS (
+          SELECT *, list_aggregate(list_transform(range(32), lambda i:
+                      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                             1 + (((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::INTEGER)
+                                   >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)),
+                    'string_agg', '') AS digest,
+                 max(page_id) OVER (PARTITION BY hex) AS best,
+                 count(*) OVER (PARTITION BY hex) AS copies
+          FROM hashed)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = best OR best IS NULL THEN 'response' ELSE 'revisit' END
+                 AS record_type,
+               CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+        FROM coded""",
+    "op8_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+          FROM embeddings),
+        scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+                     AS rank FROM scored)
+        WHERE rank <= 20""",
+    "op10_quotes": """
+        SELECT conv_id, turn, first_value(conv_id) OVER w AS root_conv_id,
+               lag(turn) OVER w AS parent_turn,
+               row_number() OVER w - 1 AS depth, row_number() OVER w - 1 AS position,
+               trim(text, E' \t\n\r') AS text
+        FROM conversations
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
 }

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 
 #: The words of the contracts, for Spark's and Python's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +20,8 @@ SLICE_BYTES = 4 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII but letters and digits: what is left are words without punctuation.
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1  # any odd number has an inverse modulo 2**64
@@ -99,8 +100,8 @@ def window_rows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return start, row
 
 
-def split(texts: pa.Array) -> Words:
-    """Words of the texts; a null has none."""
+def split(texts: pa.Array, blank: np.ndarray = _BLANK) -> Words:
+    """Words of the texts; a null has none.  `blank` tells for each byte if it separates."""
     texts = texts.cast(pa.large_binary())
     n = len(texts)
     if n == 0:
@@ -112,7 +113,7 @@ def split(texts: pa.Array) -> Words:
     data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
     valid = texts.is_valid().to_numpy(zero_copy_only=False)
     length = np.where(valid, np.diff(offsets), 0)
-    inside = ~_BLANK[data]
+    inside = ~blank[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
@@ -131,10 +132,8 @@ def split(texts: pa.Array) -> Words:
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batch in parts of about `SLICE_BYTES` of text."""
-    sizes = np.asarray(batch.column(column).cast(pa.large_binary()).fill_null(b"").buffers()[1])
     text = batch.column(column).cast(pa.large_binary())
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-    del sizes
     at = 0
     while at < len(text):
         to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
@@ -143,6 +142,18 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         at = to
 
 
-def narrow(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only these columns, so that others of any name cannot clash."""
-    return docs.select(*columns)
+def smallest(values: np.ndarray, size: int) -> np.ndarray:
+    """The least of every `size` consecutive values."""
+    have, out = 1, values
+    while have * 2 <= size:
+        out = np.minimum(out[:-have], out[have:]) if len(out) > have else out[:0]
+        have *= 2
+    rest = size - have
+    if rest:
+        out = np.minimum(out[:-rest], out[rest:]) if len(out) > rest else out[:0]
+    return out
+
+
+def keyed(values: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """One hash for each (value, row)."""
+    return mix(values ^ mix(row.astype(np.uint64) + np.uint64(1)))
