@@ -23,6 +23,12 @@ from tidemark.sources.tables import (  # noqa: E402
 from tidemark.streaming import operators as streams  # noqa: E402
 from tidemark.streaming import run, state  # noqa: E402
 
+try:  # the corpus operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from tidemark.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus = corpus_pipeline = None
+
 SMOKE = "/root/testdata/sf0.001"
 
 
@@ -274,6 +280,14 @@ def stream_vocabulary(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return stream_queries() | corpus_queries()
+
+
+def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**corpus.QUERIES, "pipeline": corpus_pipeline.run} if corpus else {}
+
+
+def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "word_count": word_count,
         "word_count_formatted": word_count_formatted,
@@ -421,6 +435,10 @@ FROM events GROUP BY ALL"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return stream_sql() | (corpus.ORACLE_SQL if corpus else {})
+
+
+def stream_sql() -> dict[str, str]:
     return {
         "word_count": _WORDS + "SELECT word, count(*) AS count FROM words GROUP BY word",
         "word_count_formatted": _WORDS

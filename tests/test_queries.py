@@ -14,10 +14,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.stream_queries()) == set(entry.stream_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.stream_queries())
 def test_query(spark, con, name):
     same, n, m, *_ = compare(spark, con, SF, name)
     assert same and n == m > 0
