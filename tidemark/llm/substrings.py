@@ -172,7 +172,7 @@ def _kept(with_text: bool):
                 made = [text[a : max(a, b - 1)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 count = words.counts()
                 out = {
-                    "row": part.column("row"),
+                    "doc": part.column("doc"),
                     "n_words": pa.array(count),
                     "n_removed": pa.array(count - np.diff(before)),
                     "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in made]),
@@ -204,11 +204,9 @@ def removals(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
 def deduplicate(docs: DataFrame, size: int = SIZE, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) for every row of `docs`."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_ID))
-    given = docs.select(key.alias("doc"), "text", F.col("doc_id").alias("row"))
-    spans = removals(given.select("doc", "text"), size)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    columns = f"row {kind}, n_words bigint, n_removed bigint, kept_sha256 string"
-    out = given.join(spans, "doc", "left").select("row", "text", "spans")
-    return out.mapInArrow(_kept(with_text), columns + ", kept string" * with_text).withColumnRenamed(
-        "row", "doc_id"
-    )
+    # The same two columns in both joins, so that they read one exchange.
+    given = docs.select(key.alias("doc"), "text")
+    out = given.join(removals(given, size), "doc", "left").select("doc", "text", "spans")
+    columns = "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+    made = out.mapInArrow(_kept(with_text), columns + ", kept string" * with_text)
+    return made.select(F.nullif("doc", F.lit(FIRST_ID)).alias("doc_id"), *made.columns[1:])

@@ -16,7 +16,7 @@ import pyarrow as pa
 #: The words of the contracts, for Spark's and Python's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are worked on at a time; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
