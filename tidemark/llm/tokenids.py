@@ -27,6 +27,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,10 @@ END_ID = 1
 #: Text of a shard, which is a file, and ids of a block.
 SHARD_BYTES = 32 << 20
 BLOCK_IDS = 1 << 20
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words, and pieces of words, whose ids a task remembers.
+REMEMBERED, PIECES = 600_000, 200_000
+#: ASCII marks that end a word; the apostrophe is left out, for the tokenizer looks behind it.
+TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 FILE_MAGIC, BLOCK_MAGIC = b"TMR1", b"TMB1"
 FILE_HEAD, BLOCK_HEAD = "<4sI", "<4sQQQQ"
 
@@ -95,7 +98,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.hasher = W.Hasher()
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self._forget()
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.tails: dict[bytes, tuple[int, ...]] = {}
         self.letters = str.maketrans(byte_letters())
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
@@ -112,13 +118,34 @@ class Encoder:
         )
 
     def _word(self, word: bytes) -> tuple[int, ...]:
-        text = word.decode("utf-8", "replace")
-        lower = text.lower()
-        # Letters only, in normal form: normalising and splitting leave it whole.
-        if text.isalpha() and lower.isalpha() and "Σ" not in text and unicodedata.is_normalized("NFC", text):
-            piece = lower.encode().decode("latin-1").translate(self.letters)
-            return tuple(t.id for t in self.tokenizer.model.tokenize(piece))
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        """Ids of a lower-cased word; letters and marks behind them are split as the tokenizer does."""
+        stem = word.rstrip(TAIL)
+        if stem.isalpha():  # bytes, so ASCII letters
+            ids = self._piece(stem.decode())
+        else:
+            text = stem.decode("utf-8", "replace")
+            lower = text.lower()
+            # Letters only, in normal form: normalising and splitting leave them whole.
+            if not (text.isalpha() and lower.isalpha() and "Σ" not in text and unicodedata.is_normalized("NFC", text)):
+                return tuple(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+            ids = self._piece(lower.encode().decode("latin-1").translate(self.letters))
+        tail = word[len(stem) :]
+        if tail:
+            marks = self.tails.get(tail)
+            if marks is None:
+                marks = tuple(self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids)
+                if len(self.tails) < PIECES:
+                    self.tails[tail] = marks
+            ids += marks
+        return ids
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            ids = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(piece)])
+        return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
@@ -128,26 +155,37 @@ class Encoder:
             sizes = [len(x.ids) for x in found]
             return np.array([i for x in found for i in x.ids], np.uint32), np.cumsum([0, *sizes])
         words = W.split(texts)
-        _, first, kind = np.unique(
-            self.hasher.words(words, lower=False), return_index=True, return_inverse=True
+        kinds, first, kind = np.unique(
+            self.hasher.words(words, lower=True), return_index=True, return_inverse=True
         )
-        ids = []
-        data = words.data.tobytes()
-        for a, b in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True):
-            word = data[a:b]
-            found = self.known.get(word)
-            if found is None:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                found = self.known[word] = self._word(word)
-            ids.append(found)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
-        each = sizes[kind]
-        ends = np.concatenate(([0], np.cumsum(each)))
-        shift = np.repeat(begin[kind] - ends[:-1], each)
-        return flat[np.arange(ends[-1]) + shift], ends[words.first]
+        if len(self.hashes) + len(kinds) > REMEMBERED:
+            self._forget()
+        new = ~np.isin(kinds, self.hashes, assume_unique=True)
+        data = words.data.tobytes().lower()
+        begins, ends = words.start[first[new]].tolist(), words.end[first[new]].tolist()
+        ids = [self._word(data[a:b]) for a, b in zip(begins, ends, strict=True)]
+        self._remember(kinds[new], ids)
+        at = np.searchsorted(self.hashes, kinds)
+        begin, size = self.begin[at][kind], self.size[at][kind]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return self.flat[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)], ends[words.first]
+
+    def _forget(self) -> None:
+        """The ids of words by hash: sorted hashes, and the place of each word's ids."""
+        self.hashes = np.zeros(0, np.uint64)
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _remember(self, hashes: np.ndarray, ids: list[tuple[int, ...]]) -> None:
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        begin = len(self.flat) + np.cumsum(size) - size
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        self.flat = np.concatenate([self.flat, flat])
+        hashes = np.concatenate([self.hashes, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.size = np.concatenate([self.size, size])[order]
 
 
 def _shards(path: str, bounds: list[int], end_id: int, wide: str):
@@ -210,6 +248,11 @@ def _counts(wide: str):
     return counts
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.select(["shard", "n"])
+
+
 def _blocks(wide: str):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows of a shard, ordered by document and cut into blocks.
@@ -301,7 +344,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
     dealt = coded.repartition(len(bounds) + 1, "shard")
     # One row per shard.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("shard").agg(F.sum("n").alias("n"))
+    # Through a map of all columns: a projection would reach below the exchange, which
+    # could then not be read again for the counts and the blocks.
+    starts = dealt.mapInArrow(_totals, "shard int, n bigint").groupBy("shard").agg(F.sum("n").alias("n"))
     starts = starts.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     # One row, no longer than the vocabulary.
     counts = dealt.mapInArrow(_counts(wide), "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
