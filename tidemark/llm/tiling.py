@@ -146,6 +146,8 @@ def _stretches(least: int, bitmap: np.ndarray):
                 hit = (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
                 hit = np.flatnonzero(hit)
                 start, row, seeds = start[hit], row[hit], seeds[hit]
+                if not len(row):
+                    continue
                 rows, edges = np.unique(row, return_index=True)
                 kept, lists = [], []
                 for a, b in zip(edges, np.append(edges[1:], len(row)), strict=True):
