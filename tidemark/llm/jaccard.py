@@ -45,8 +45,11 @@ CELLS, CHUNK_CELLS = 1 << 18, 1 << 14
 LEAST_BITS = 64
 #: Words of 64 bits of the filter that spares most rows a shuffle.
 FILTER_WORDS = 1 << 16
-#: Pairs that the last round may compare, per row of the tiles, before another star round.
-LAST_ROUND, MOST_ROUNDS = 4, 12
+#: Pairs that the last round may compare, per row of the tiles, before another round of
+#: stars; rounds at most.
+LAST_ROUND, MOST_ROUNDS = 1, 3
+#: Members of a tile that one task holds against as many others.
+TILE_ROWS = 4096
 NULL_ID = -(1 << 63)
 
 
@@ -251,7 +254,11 @@ class Measured:
             own = self.marks.select(*[F.col(c).alias(f"{side}_{c}") for c in self.marks.columns])
             marked = marked.join(own, F.col(side) == F.col(f"{side}_print"))
         marked = marked.select("a", "b", "a_n", "b_n", "a_signature", "b_signature")
-        able = written(marked.mapInArrow(_bounded(self.percent), "a bigint, b bigint"), "jaccard-able")
+        return self.exact(marked.mapInArrow(_bounded(self.percent), "a bigint, b bigint"))
+
+    def exact(self, able: DataFrame) -> DataFrame:
+        """Of pairs that their bitmaps leave, those that are similar enough."""
+        able = written(able, "jaccard-able")
         needed = able.select(F.col("a").alias("print")).union(able.select("b")).distinct()
         arrays = among(self.sets.select("print", "shingles"), "print", needed)
         arrays = arrays.groupBy("print").agg(F.first("shingles").alias("shingles"))
@@ -263,6 +270,94 @@ class Measured:
         return held.mapInArrow(_exact(self.percent), "a bigint, b bigint")
 
 
+    def open_pairs(self, tiles: DataFrame) -> DataFrame:
+        """Pairs in different components of one tile that their bitmaps leave.
+
+        Every tile is a bit matrix in one task, or several where it is large; a pair comes
+        from the first of its common tiles only.
+        """
+        keys = tiles.groupBy("print").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+        marks = self.marks.select(F.col("print").alias("of"), "signature")
+        rows = tiles.join(keys, "print").join(marks, F.col("print") == F.col("of"))
+        parts = F.ceil(F.col("all") / TILE_ROWS).cast("int")
+        rows = rows.withColumns({"parts": parts, "own": F.pmod(F.xxhash64("print"), parts).cast("int")})
+        each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        held = ["key", "print", "n", "band", "comp", "signature", "keys", (F.col("comp") != F.col("main")).alias("out")]
+        asks = rows.filter("comp <> main").select(*held, F.lit(True).alias("asks"), F.col("own").alias("x"), each.alias("y"))
+        meets = rows.select(*held, F.lit(False).alias("asks"), F.col("own").alias("y"), each.alias("x"))
+        dealt = asks.unionByName(meets).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+        return dealt.mapInArrow(_bit_tiles(self.percent), "a bigint, b bigint")
+
+
+def _fold(marks: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of a matrix, folded to the least size among them."""
+    least = min(map(len, marks)) // 8
+    out = np.zeros((len(marks), least), np.uint64)
+    for i, m in enumerate(marks):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, least), axis=0)
+    return out
+
+
+def _bit_tiles(percent: int):
+    def tile(t: pa.Table, found: list[tuple[int, int]]) -> None:
+        asks, out = (t.column(c).to_numpy() for c in ("asks", "out"))
+        key = t.column("key")[0].as_py()
+        n, name, comp, size_band = (t.column(c).to_numpy() for c in ("n", "print", "comp", "band"))
+        marks = t.column("signature").to_pylist()
+        for b in np.unique(size_band[asks]):
+            left = np.flatnonzero(asks & (size_band == b))
+            right = np.flatnonzero(~asks & (np.abs(size_band - b) <= 1))
+            if not len(right):
+                continue
+            bits = _fold([marks[i] for i in [*left, *right]])
+            x, y = bits[: len(left)], bits[len(left) :]
+            for i, own in zip(left, x, strict=True):
+                alone, others = np.bitwise_count(own & ~y).sum(axis=1), np.bitwise_count(y & ~own).sum(axis=1)
+                m = n[right]
+                most = np.minimum(n[i] - alone.astype(np.int64), m - others.astype(np.int64))
+                able = (comp[right] != comp[i]) & (100 * most >= percent * (n[i] + m - most))
+                able &= ~out[right] | (name[right] > name[i])  # two others meet twice
+                for j in right[able]:
+                    mine, its = t.column("keys")[int(i)].values.to_numpy(), t.column("keys")[int(j)].values.to_numpy()
+                    if np.intersect1d(mine, its, assume_unique=True)[0] == key:
+                        a, c = int(name[i]), int(name[j])
+                        found.append((min(a, c), max(a, c)))
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+
+        def closed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t, found = pa.Table.from_batches(parts).combine_chunks(), []
+            if t.num_rows:
+                place = np.stack([t.column(c).to_numpy() for c in ("key", "x", "y")])
+                edges = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
+                for a, b in zip([0, *edges], [*edges, t.num_rows], strict=True):
+                    tile(t.slice(a, b - a), found)
+            ends = np.array(found, np.int64).reshape(-1, 2)
+            return pa.record_batch({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = np.stack([batch.column(c).to_numpy() for c in ("key", "x", "y")])
+            same = (place == place[:, -1:]).all(axis=0)
+            last = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+            head = batch.slice(0, last)
+            if last:
+                yield closed([*rest, head])
+                rest = []
+            elif rest:
+                end = [rest[-1].column(c)[-1].as_py() for c in ("key", "x", "y")]
+                if end != place[:, 0].tolist():
+                    yield closed(rest)
+                    rest = []
+            rest.append(batch.slice(last))
+        if rest:
+            yield closed(rest)
+
+    return tiles
+
+
 def _pairs(left: DataFrame, tiles: DataFrame, percent: int, apart: bool) -> DataFrame:
     """Distinct pairs of `left` and members of the same tiles, of fitting sizes."""
     near = left.withColumn("band", F.explode(F.expr("sequence(band - 1, band + 1)")))
@@ -291,7 +386,6 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
             leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
             leaders = leaders.select("key", "band", "top.*")
             pairs = _pairs(leaders, tiles, percent, apart=False)
-            last = False
         else:
             held = tiles.join(roots, tiles["print"] == roots["node"], "left")
             held = held.select("key", "print", "n", "band", F.coalesce("root", "print").alias("comp"))
@@ -306,20 +400,22 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
             if not left:
                 break
             open_tiles = written(held.join(mains, "key"), "jaccard-open")
-            others = open_tiles.filter("comp <> main")
-            last = left <= LAST_ROUND * tile_rows or turn == MOST_ROUNDS - 1
-            if not last:
-                place = F.xxhash64("print", F.lit(turn))
-                others = others.groupBy("key", "band").agg(F.min_by(F.struct("print", "n", "comp"), place).alias("top"))
-                others = others.select("key", "band", "top.*")
-            pairs = _pairs(others, open_tiles.select("key", "print", "n", "band", "comp"), percent, apart=True)
+            if left <= LAST_ROUND * tile_rows or turn == MOST_ROUNDS - 1:
+                found = written(measured.exact(measured.open_pairs(open_tiles)), "jaccard-links")
+                links = links.unionByName(found)
+                return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            # The others of each tile meet one member of its main component; a set has
+            # many tiles and so meets many members, at a row per tile.
+            others = open_tiles.filter("comp <> main").select("key", "print", "n", "band", "comp")
+            place = F.xxhash64("print", "key", F.lit(turn))
+            mains = open_tiles.filter("comp = main").groupBy("key", "band")
+            mains = mains.agg(F.min_by(F.struct("print", "n", "comp"), place).alias("top"))
+            pairs = _pairs(mains.select("key", "band", "top.*"), others, percent, apart=True)
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         found = written(measured.links(pairs), "jaccard-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        if last:
-            break
     return roots
 
 
