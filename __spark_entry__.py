@@ -218,7 +218,7 @@ def stream_tumbling_count(spark, sf):
     In one batch, since files of a table need not come in the order of time.
     """
     checkpoint, output = _folders(spark)
-    stream = streams.tumbling_count(stream_events(spark, sf), "event_type")
+    stream = streams.tumbling_count(stream_events(spark, sf), "event_type", delay="0 seconds")
     run.run_available(run.to_table(stream, output), checkpoint)
     closed = spark.read.schema(stream.schema).parquet(output)
     still_open = state.read_state(spark, checkpoint).select(

@@ -1,3 +1,5 @@
+import datetime
+
 import numpy as np
 import pytest
 from hypothesis import given
@@ -274,3 +276,28 @@ def test_segmented_list():
     assert items.get() == [7]
     items.clear()
     assert items.get() == []
+
+
+def test_sum_up_to_the_last_of_64_bits():
+    top = 2**63 - 1
+    sums = _sums_since(np.array([top, -top, top, 0]), np.zeros(4, bool), 0)
+    assert sums.tolist() == [top, 0, top, top]
+    low = _sums_since(np.array([-(2**62)]), np.zeros(1, bool), -(2**62))
+    assert low.tolist() == [-(2**63)]
+    with pytest.raises(OverflowError):
+        _sums_since(np.array([1]), np.zeros(1, bool), top)
+
+
+def test_late_rows_fail_the_run(spark, source):
+    schema = "word string, ts timestamp_ntz"
+    for second in ("00:00:30", "00:00:31", "00:00:01", "00:01:30"):
+        at = datetime.datetime.fromisoformat(f"2024-01-01 {second}")
+        source.drop([("a", at)], schema)
+    windows = streams.tumbling_count(source.stream(schema), delay="0 seconds")
+    with pytest.raises(ValueError, match="later than"):
+        run_available(to_table(windows, source.out), source.checkpoint)
+
+
+def test_lookup_fails_on_a_missing_checkpoint(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)state|exist|checkpoint"):
+        state.lookup(spark, f"{tmp_path}/nowhere", 1).collect()

@@ -84,3 +84,13 @@ def test_take_until(table, collected, split_it):
     assert ["".join(t for k, t in got if k == key) for key in (1, 2, 3, 4)] == [
         "ab", "abc", "", "abcdefg",
     ]
+
+
+def test_take_until_keeps_null_keys_and_needs_no_window(table, collected):
+    rows = [(None, 0, "a"), (None, 1, "quit"), (None, 2, "b"), (1, 0, "quit"), (1, 1, "a"), (2, 0, None)]
+    stream = table(rows, "key bigint, seq bigint, tok string")
+    kept = tokens.take_until(stream, Layout(("key",), ("seq",)))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, 0, "a"), (2, 0, None)], key=repr)
+    assert "Window" not in kept._jdf.queryExecution().toString()
+    whole = tokens.take_until(stream.drop("key").filter("tok IS NOT NULL AND seq < 2"), Layout((), ("seq",)))
+    assert whole.count() == 0

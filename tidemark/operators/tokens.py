@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import QUIT_TOKEN, parse_marked, split_tokens
-from tidemark.plans import Layout, Pass, ordered_scan
+from tidemark.plans import Layout
 
 
 def words(lines: DataFrame, line: str = "value", word: str = "word") -> DataFrame:
@@ -35,8 +37,17 @@ def rejects(stream: DataFrame, tok: str = "tok") -> DataFrame:
 def take_until(
     stream: DataFrame, layout: Layout, tok: str = "tok", marker: str = QUIT_TOKEN
 ) -> DataFrame:
-    """Rows of each key before its first marker token."""
-    scanned = ordered_scan(
-        stream, layout, Pass(restart=F.col(tok) == marker, seen="ended")
-    )
-    return scanned.filter(~F.col("ended")).drop("ended")
+    """Rows of each key before its first marker token.
+
+    The first marker of each key is a minimum, reduced before its shuffle; only keys
+    with a marker are in the joined table, and no rows are sorted for a window.
+    """
+    first = F.min(layout.position()).alias("ended")
+    ends = stream.filter(F.col(tok) == marker).groupBy(*layout.keys).agg(first)
+    before = F.col("ended").isNull() | (layout.position() < F.col("ended"))
+    if not layout.keys:
+        return stream.crossJoin(ends).filter(before).drop("ended")  # one row
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in layout.keys]
+    ends = ends.withColumnsRenamed({k: f"__{k}" for k in layout.keys})
+    found = stream.join(ends, reduce(Column.__and__, same), "left").filter(before)
+    return found.select(*stream.columns)

@@ -25,7 +25,7 @@ def _mark_clears(rows, scan, word):
 
 def accepted_words(stream: DataFrame, layout: Layout, word: str = "word") -> DataFrame:
     """What the job emits: every word it stores, as it came: (keys, order, word)."""
-    rows = stream.select(*layout.keys, *layout.order, word)
+    rows = stream.select(*layout.keys, *layout.order, word).filter(F.col(word).isNotNull())
     marked = in_order(rows, layout, lambda rows, scan: _mark_clears(rows, scan, word))
     return marked.filter(~F.col("clears")).drop("clears")
 
@@ -37,7 +37,7 @@ def vocabulary(stream: DataFrame, layout: Layout, word: str = "word") -> DataFra
         marked = _mark_clears(rows, scan, word)
         return scan(marked, Pass(restart=F.col("clears"), seen="dead", descending=True))
 
-    rows = stream.select(*layout.keys, *layout.order, word)
+    rows = stream.select(*layout.keys, *layout.order, word).filter(F.col(word).isNotNull())
     live = in_order(rows, layout, steps).filter(~F.col("dead"))
     entries = live.groupBy(*layout.keys, word).agg(
         F.count("*").alias("count"), F.min(layout.position()).alias("first")

@@ -28,13 +28,15 @@ def tumbling_count(
     word: str = "word",
     ts: str = "ts",
     width: str = "5 seconds",
-    delay: str = "0 seconds",
+    *,
+    delay: str,
 ) -> DataFrame:
     """Count per word and window: (window, word, count), in UTC.
 
     Append mode emits a window once the watermark, `delay` behind the latest
     event, has passed it; the state holds the open windows only.  Rows later
-    than that are lost, so choose `delay` after the disorder of the source.
+    than that would be lost, so choose `delay` after the disorder of the source; there
+    is no default, and `run_available` fails if rows were dropped.
     """
     timed = stream.select(F.col(ts).cast("timestamp").alias(ts), word)
     windows = timed.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("window"), word)
@@ -82,6 +84,9 @@ def running_average(
 def vocabulary(
     stream: DataFrame, keys: str | Sequence[str] = "key", order: str | Sequence[str] = "seq"
 ) -> DataFrame:
-    """Every stored word; the state holds the counted word list of each key."""
+    """Every stored word; the state holds the counted word list of each key.
+
+    A null is no word, here and in batch.
+    """
     word = StructField("word", StringType())
-    return _apply(stream, Vocabulary, keys, order, ["word"], word)
+    return _apply(stream.filter(F.col("word").isNotNull()), Vocabulary, keys, order, ["word"], word)

@@ -23,6 +23,7 @@ from pyspark.sql.streaming.stateful_processor import (
 from tidemark.functions.tokens import CLEAR, CLEAR_WORDS_TOKEN
 
 SEGMENT = 8192
+LOW_HALF = (1 << 32) - 1
 
 
 def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
@@ -56,10 +57,12 @@ def _sums_since(values: np.ndarray, restart: np.ndarray, carried: int) -> np.nda
         last = np.maximum.accumulate(np.where(restart, np.arange(len(v)), -1))
         return total - np.where(last >= 0, (total - v)[last], -zero)
 
-    sums = scan(values, np.int64(carried))
-    if len(sums) and np.abs(scan(values.astype(float), float(carried))).max() >= 2.0**63:
+    # Halves of 32 bits never pass 64 bits here, so the check is exact.
+    low = scan(values & LOW_HALF, np.int64(carried & LOW_HALF))
+    high = scan(values >> 32, np.int64(carried >> 32)) + (low >> 32)
+    if len(high) and (high.max() >= 1 << 31 or high.min() < -(1 << 31)):
         raise OverflowError("sum past 64 bits")
-    return sums
+    return (high << 32) | (low & LOW_HALF)
 
 
 class SegmentedList:

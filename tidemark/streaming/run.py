@@ -25,6 +25,7 @@ STATE_SETTINGS = {
 
 # Fixed value: the checkpoint interval where none is asked for.
 INTERVAL = "60 seconds"
+ALL_ROWS = (1 << 31) - 64
 
 
 @contextmanager
@@ -51,8 +52,9 @@ def to_state(stream: DataFrame, mode: str = "update") -> DataStreamWriter:
 
 
 def to_console(stream: DataFrame, mode: str = "update") -> DataStreamWriter:
-    """Prints the first rows of every batch."""
-    return stream.writeStream.format("console").outputMode(mode)
+    """Prints every row of every batch, in full."""
+    console = stream.writeStream.format("console").option("truncate", False)
+    return console.option("numRows", ALL_ROWS).outputMode(mode)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, interval: str = INTERVAL) -> StreamingQuery:
@@ -63,8 +65,18 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str = INTERVAL) -
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Work off what the source holds now, in batches, and return."""
+    """Work off what the source holds now, in batches, and return.
+
+    Fails if the watermark dropped rows as late: choose a longer delay then.
+    """
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     with state_settings(SparkSession.active()):
         query = writer.start()
     query.awaitTermination()
+    late = sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+    if late:
+        raise ValueError(f"{late} rows came later than the watermark's delay and were dropped")

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,8 +136,11 @@ def lookup(
     if normalise:
         parts = tuple(normalised(part) for part in parts)
     asked = names(states)
-    found = [_of_key(spark, checkpoint, name, parts, batch) for name in asked]
-    found = [rows for rows in found if rows is not None]
+    # Only what the checkpoint does not keep counts as absent; any error is raised.
+    kept = {row["name"] for row in state_names(spark, checkpoint).collect()}
+    if not kept:
+        raise ValueError(f"no states are kept under {checkpoint}")
+    found = [_of_key(spark, checkpoint, name, parts, batch) for name in asked if VARIABLES[name] in kept]
     wanted = spark.createDataFrame([(name,) for name in asked], "state_name string")
     if not found:
         none = F.lit(None)
@@ -154,10 +156,7 @@ def lookup(
 
 
 def _of_key(spark, checkpoint, name, parts, batch):
-    try:
-        state = READERS[name](spark, checkpoint, batch)
-    except (AnalysisException, PySparkException):
-        return None
+    state = READERS[name](spark, checkpoint, batch)
     keys = [c for c in state.columns if c not in ("pos", "map_key", "value", "n")]
     match = reduce(Column.__and__, [F.col(c) == F.lit(p) for c, p in zip(keys, parts, strict=True)])
     rows = state.filter(match)
