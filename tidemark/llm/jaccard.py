@@ -6,7 +6,8 @@ shingle among the first of their set and whose sizes lie in neighbouring bands.
 is by an order that puts rare shingles in front (a counting sketch of fixed size, over
 the whole corpus, tells them apart), so what many documents share makes no large tile.
 Any such order is exact: of two sets as similar as asked, each has one of the common
-shingles among its first n - ceil(n * t) + 1.
+shingles among its first n - ceil(n * t) + 1.  The place that a shingle has in that order
+rules out more: where the first common one stands late, too few are left behind it.
 
 A pair is measured in two steps: the bits that one bitmap has and the other has not are
 shingles that cannot be shared, which bounds the overlap from above; what is left is
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +43,18 @@ from tidemark.llm.store import written
 SHINGLE, PERCENT = 5, 80
 #: Cells of the counting sketch, in chunks.
 CELLS, CHUNK_CELLS = 1 << 18, 1 << 14
-#: Smallest bitmap; larger sets have about two bits per shingle.
-LEAST_BITS = 64
+#: Smallest bitmap; larger sets have 8 to 16 bits per shingle, so few bits fall together.
+LEAST_BITS, BITS_EACH = 64, 8
 #: Words of 64 bits of the filter that spares most rows a shuffle.
 FILTER_WORDS = 1 << 16
 #: Pairs that the last round may compare, per row of the tiles, before another round of
 #: stars; rounds at most.
-LAST_ROUND, MOST_ROUNDS = 1, 3
+LAST_ROUND, MOST_ROUNDS = 1, 2
 #: Members of a tile that one task holds against as many others.
-TILE_ROWS = 4096
+TILE_ROWS = 2048
+#: Pairs that a task lists at a time, and bytes of bitmaps that it lays side by side.
+PAIRS, LOOK_BYTES = 1 << 18, 8 << 20
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 NULL_ID = -(1 << 63)
 
 
@@ -70,7 +75,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def signature(values: np.ndarray) -> bytes:
-    bits = max(LEAST_BITS, 1 << int(2 * len(values) - 1).bit_length())
+    bits = max(LEAST_BITS, 1 << int(BITS_EACH * len(values) - 1).bit_length())
     marks = np.zeros(bits, np.uint8)
     marks[(values % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(marks, bitorder="little").tobytes()
@@ -160,23 +165,31 @@ def levels(sets: DataFrame) -> np.ndarray:
 
 def _prefixes(percent: int, level: np.ndarray):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, print, n): each set under its first shingles."""
+        """(key, print, n, pos): each set under its first shingles, and their places in the order."""
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, places = [], [], []
             for data in batch.column("shingles"):
                 values = unpack(data.as_py())
                 n = len(values)
                 first = n - -(-percent * n // 100) + 1
                 rank = level[(values & np.uint64(CELLS - 1)).astype(np.int64)]
-                # Spread within a level, so that the order does not favour small hashes.
-                order = (rank.astype(np.uint64) << np.uint64(56)) | (W.mix(values) >> np.uint64(8))
-                keys.append(values[np.argpartition(order, first - 1)[:first]] if first < n else values)
-                sizes.append(len(keys[-1]))
+                # Spread within a level, so that the order does not favour small hashes; an odd
+                # factor keeps different hashes apart.
+                order = (rank.astype(np.uint64) << np.uint64(48)) | (values * SPREAD & np.uint64((1 << 48) - 1))
+                head = np.argpartition(order, first - 1)[:first] if first < n else np.arange(n)
+                keys.append(values[head[np.argsort(order[head])]])
+                sizes.append(first)
+                places.append(np.arange(first, dtype=np.int32))
             if keys:
                 at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
                 key = np.concatenate(keys).view(np.int64)
                 yield pa.record_batch(
-                    {"key": pa.array(key), "print": batch.column("print").take(at), "n": batch.column("n").take(at)}
+                    {
+                        "key": pa.array(key),
+                        "print": batch.column("print").take(at),
+                        "n": batch.column("n").take(at),
+                        "pos": pa.array(np.concatenate(places)),
+                    }
                 )
 
     return prefixes
@@ -273,67 +286,93 @@ class Measured:
     def open_pairs(self, tiles: DataFrame) -> DataFrame:
         """Pairs in different components of one tile that their bitmaps leave.
 
-        Every tile is a bit matrix in one task, or several where it is large; a pair comes
-        from the first of its common tiles only.
+        Every tile is a bit matrix in one task, or several where it is large.
         """
-        keys = tiles.groupBy("print").agg(F.sort_array(F.collect_list("key")).alias("keys"))
         marks = self.marks.select(F.col("print").alias("of"), "signature")
-        rows = tiles.join(keys, "print").join(marks, F.col("print") == F.col("of"))
+        rows = tiles.join(marks, F.col("print") == F.col("of"))
         parts = F.ceil(F.col("all") / TILE_ROWS).cast("int")
         rows = rows.withColumns({"parts": parts, "own": F.pmod(F.xxhash64("print"), parts).cast("int")})
-        each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        held = ["key", "print", "n", "band", "comp", "signature", "keys", (F.col("comp") != F.col("main")).alias("out")]
-        asks = rows.filter("comp <> main").select(*held, F.lit(True).alias("asks"), F.col("own").alias("x"), each.alias("y"))
-        meets = rows.select(*held, F.lit(False).alias("asks"), F.col("own").alias("y"), each.alias("x"))
-        dealt = asks.unionByName(meets).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-        return dealt.mapInArrow(_bit_tiles(self.percent), "a bigint, b bigint")
-
-
-def _fold(marks: list[bytes]) -> np.ndarray:
-    """Bitmaps as rows of a matrix, folded to the least size among them."""
-    least = min(map(len, marks)) // 8
-    out = np.zeros((len(marks), least), np.uint64)
+        held = ["key", "print", "n", "pos", "comp", "signature", (F.col("comp") != F.col("main")).alias("out")]
+        yes, no = F.lit(True), F.lit(False)
+        # One row does for both parts where the tile is one task.
+        whole = rows.filter("parts = 1").select(*held, F.expr("comp <> main").alias("asks"), yes.alias("meets"), "own", F.lit(0).alias("y"))
+        large = rows.filter("parts > 1").withColumn("each", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        asks = large.filter("comp <> main").select(*held, yes.alias("asks"), no.alias("meets"), F.col("own").alias("x"), F.col("each").alias("y"))
+        meets = large.select(*held, no.alias("asks"), yes.alias("meets"), F.col("each").alias("x"), F.col("own").alias("y"))
+        dealt = whole.withColumnRenamed("own", "x").unionByName(asks).unionByName(meets).repartition("key", "x", "y")
+        dealt = dealt.sortWithinPartitions("key", "x", "y", F.desc("meets"))
+        return dealt.mapInArrow(_bit_tiles(self.percent), "a bigint, b bigint").distinct()
+
+
+def _fold(marks: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps as rows of a matrix, folded to so many words of 64 bits."""
+    out = np.zeros((len(marks), words), np.uint64)
     for i, m in enumerate(marks):
-        out[i] = np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, least), axis=0)
+        out[i] = np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, words), axis=0)
     return out
 
 
+def _narrow(bits: np.ndarray) -> np.ndarray:
+    """The same bitmaps at a quarter of the size: a looser bound, at a quarter of the work."""
+    if bits.shape[1] < 4:
+        return bits
+    return np.bitwise_or.reduce(bits.reshape(len(bits), 4, -1), axis=1)
+
+
+def _ones(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
 def _bit_tiles(percent: int):
-    def tile(t: pa.Table, found: list[tuple[int, int]]) -> None:
-        asks, out = (t.column(c).to_numpy() for c in ("asks", "out"))
-        key = t.column("key")[0].as_py()
-        n, name, comp, size_band = (t.column(c).to_numpy() for c in ("n", "print", "comp", "band"))
-        marks = t.column("signature").to_pylist()
-        for b in np.unique(size_band[asks]):
-            left = np.flatnonzero(asks & (size_band == b))
-            right = np.flatnonzero(~asks & (np.abs(size_band - b) <= 1))
-            if not len(right):
-                continue
-            bits = _fold([marks[i] for i in [*left, *right]])
-            x, y = bits[: len(left)], bits[len(left) :]
-            for i, own in zip(left, x, strict=True):
-                alone, others = np.bitwise_count(own & ~y).sum(axis=1), np.bitwise_count(y & ~own).sum(axis=1)
-                m = n[right]
-                most = np.minimum(n[i] - alone.astype(np.int64), m - others.astype(np.int64))
-                able = (comp[right] != comp[i]) & (100 * most >= percent * (n[i] + m - most))
-                able &= ~out[right] | (name[right] > name[i])  # two others meet twice
-                for j in right[able]:
-                    mine, its = t.column("keys")[int(i)].values.to_numpy(), t.column("keys")[int(j)].values.to_numpy()
-                    if np.intersect1d(mine, its, assume_unique=True)[0] == key:
-                        a, c = int(name[i]), int(name[j])
-                        found.append((min(a, c), max(a, c)))
+    def able(t: pa.Table, place: np.ndarray) -> Iterator[np.ndarray]:
+        """Ends of the pairs that stay, of whole tiles whose members stand before who asks."""
+        asks, meets, out = (t.column(c).to_numpy() for c in ("asks", "meets", "out"))
+        n, pos, name, comp = (t.column(c).to_numpy() for c in ("n", "pos", "print", "comp"))
+        marks = t.column("signature")
+        words = pc.binary_length(marks).to_numpy() // 8
+        room = n - pos  # shared at most, where the tile's shingle is the first common one
+        start = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0)))
+        tile = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(asks))))
+        members = np.add.reduceat(meets.astype(np.int64), start)
+        left = np.flatnonzero(asks)
+        ends = np.cumsum(members[tile[left]])
+        at = 0
+        while at < len(left):
+            done = int(ends[at - 1]) if at else 0
+            to = max(int(np.searchsorted(ends, done + PAIRS, "right")), at + 1)
+            each = members[tile[left[at:to]]]
+            i = np.repeat(left[at:to], each)
+            j = start[tile[i]] + np.arange(len(i)) - np.repeat(ends[at:to] - each - done, each)
+            at = to
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            met = (comp[i] != comp[j]) & (room[i] >= need) & (room[j] >= need)
+            met &= ~out[j] | (name[j] > name[i])  # two others meet twice
+            i, j, need = i[met], j[met], need[met]
+            width = np.minimum(words[i], words[j])
+            for w in np.unique(width):
+                some = np.flatnonzero(width == w)
+                rows, ends_of = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+                bits = _fold(marks.take(pa.array(rows)).to_pylist(), int(w))
+                a, b = ends_of[: len(some)], ends_of[len(some) :]
+                for looked in (_narrow(bits), bits):
+                    ones, step = _ones(looked), max(LOOK_BYTES // (8 * looked.shape[1]), 1)
+                    stay = np.zeros(len(a), bool)
+                    for k in range(0, len(a), step):
+                        x, y = a[k : k + step], b[k : k + step]
+                        spare = np.minimum(n[rows[x]] - ones[x], n[rows[y]] - ones[y])
+                        stay[k : k + step] = spare + _ones(looked[x] & looked[y]) >= need[some[k : k + step]]
+                    a, b, some = a[stay], b[stay], some[stay]
+                x, y = name[rows[a]], name[rows[b]]
+                yield np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
 
         def closed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t, found = pa.Table.from_batches(parts).combine_chunks(), []
+            t, ends = pa.Table.from_batches(parts).combine_chunks(), np.zeros((0, 2), np.int64)
             if t.num_rows:
                 place = np.stack([t.column(c).to_numpy() for c in ("key", "x", "y")])
-                edges = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
-                for a, b in zip([0, *edges], [*edges, t.num_rows], strict=True):
-                    tile(t.slice(a, b - a), found)
-            ends = np.array(found, np.int64).reshape(-1, 2)
+                ends = np.unique(np.concatenate([ends, *able(t, place)]), axis=0)
             return pa.record_batch({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
         for batch in batches:
@@ -372,11 +411,15 @@ def _pairs(left: DataFrame, tiles: DataFrame, percent: int, apart: bool) -> Data
 
 def link_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root): the fingerprints of sets that have links, and their components."""
-    shape = "key bigint, print bigint, n bigint"
+    shape = "key bigint, print bigint, n bigint, pos int"
     first = sets.filter("n > 0").select("print", "n", "shingles").mapInArrow(_prefixes(percent, levels(sets)), shape)
-    shared = first.groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high"))
-    shared = shared.filter("low <> high").select("key")
-    tiles = first.join(shared, "key").groupBy("key", "print").agg(F.max("n").alias("n"))
+    first = written(first, "jaccard-first")
+    shared = first.groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high"), F.min("n").alias("least"))
+    shared = shared.filter("low <> high").select("key", "least")
+    # Shared with the least set of the tile that may be similar, so with any of them.
+    need = F.expr(f"({percent} * (n + greatest(least, ({percent} * n + 99) div 100)) + {99 + percent}) div {100 + percent}")
+    tiles = first.join(shared, "key").filter(F.col("n") - F.col("pos") >= need)
+    tiles = tiles.groupBy("key", "print").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
     tiles = written(tiles.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
     links, tested, roots = None, None, None
@@ -388,7 +431,7 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
             pairs = _pairs(leaders, tiles, percent, apart=False)
         else:
             held = tiles.join(roots, tiles["print"] == roots["node"], "left")
-            held = held.select("key", "print", "n", "band", F.coalesce("root", "print").alias("comp"))
+            held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
             sizes = held.groupBy("key", "comp").agg(F.count("*").alias("size"))
             mains = sizes.groupBy("key").agg(
                 F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("comps")
