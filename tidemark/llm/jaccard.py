@@ -14,10 +14,10 @@ shingles that cannot be shared, which bounds the overlap from above; what is lef
 intersected exactly.
 
 The result is components, so pairs inside a component that is known already need no
-look.  Each round holds a leader of every tile against its members and merges what
-links; at the end all pairs of a tile that are still in different components are
-measured, so no link is lost.  A tile of thousands of near copies costs a star, not all
-its pairs.  Copies with equal sets are one node throughout.
+look.  First a leader of every tile is held against its members and what links is
+merged; then the most similar pair of every two components of a tile, by bitmap; at the
+end all pairs of a tile that are still in different components are measured, so no link
+is lost.  Copies with equal sets are one node throughout.
 
 Defined results: a null text and one without words have 0 shingles and are alone.  With
 fewer words than a shingle has, the whole sequence is the one shingle.  Rows with equal
@@ -43,13 +43,13 @@ from tidemark.llm.store import written
 SHINGLE, PERCENT = 5, 80
 #: Cells of the counting sketch, in chunks.
 CELLS, CHUNK_CELLS = 1 << 18, 1 << 14
-#: Smallest bitmap; larger sets have 8 to 16 bits per shingle, so few bits fall together.
-LEAST_BITS, BITS_EACH = 64, 8
+#: Smallest bitmap; larger sets have 4 to 8 bits per shingle, so few bits fall together.
+LEAST_BITS, BITS_EACH = 64, 4
 #: Words of 64 bits of the filter that spares most rows a shuffle.
 FILTER_WORDS = 1 << 16
-#: Pairs that the last round may compare, per row of the tiles, before another round of
-#: stars; rounds at most.
-LAST_ROUND, MOST_ROUNDS = 1, 2
+#: Pairs that the last round may compare, per row of the tiles, before a round of best
+#: pairs; rounds at most.
+LAST_ROUND, MOST_ROUNDS = 1, 3
 #: Members of a tile that one task holds against as many others.
 TILE_ROWS = 2048
 #: Pairs that a task lists at a time, and bytes of bitmaps that it lays side by side.
@@ -283,10 +283,11 @@ class Measured:
         return held.mapInArrow(_exact(self.percent), "a bigint, b bigint")
 
 
-    def open_pairs(self, tiles: DataFrame) -> DataFrame:
+    def open_pairs(self, tiles: DataFrame, best: bool) -> DataFrame:
         """Pairs in different components of one tile that their bitmaps leave.
 
-        Every tile is a bit matrix in one task, or several where it is large.
+        Every tile is a bit matrix in one task, or several where it is large.  With `best`,
+        of the pairs between the same two components only the most similar one by bitmap.
         """
         marks = self.marks.select(F.col("print").alias("of"), "signature")
         rows = tiles.join(marks, F.col("print") == F.col("of"))
@@ -301,7 +302,7 @@ class Measured:
         meets = large.select(*held, no.alias("asks"), yes.alias("meets"), F.col("each").alias("x"), F.col("own").alias("y"))
         dealt = whole.withColumnRenamed("own", "x").unionByName(asks).unionByName(meets).repartition("key", "x", "y")
         dealt = dealt.sortWithinPartitions("key", "x", "y", F.desc("meets"))
-        return dealt.mapInArrow(_bit_tiles(self.percent), "a bigint, b bigint").distinct()
+        return dealt.mapInArrow(_bit_tiles(self.percent, best), "a bigint, b bigint").distinct()
 
 
 def _fold(marks: list[bytes], words: int) -> np.ndarray:
@@ -323,9 +324,12 @@ def _ones(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
 
 
-def _bit_tiles(percent: int):
-    def able(t: pa.Table, place: np.ndarray) -> Iterator[np.ndarray]:
-        """Ends of the pairs that stay, of whole tiles whose members stand before who asks."""
+def _bit_tiles(percent: int, best: bool):
+    def low_high(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+
+    def able(t: pa.Table, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Ends, components and bound of the pairs that stay, of whole tiles whose members stand before who asks."""
         asks, meets, out = (t.column(c).to_numpy() for c in ("asks", "meets", "out"))
         n, pos, name, comp = (t.column(c).to_numpy() for c in ("n", "pos", "print", "comp"))
         marks = t.column("signature")
@@ -356,14 +360,16 @@ def _bit_tiles(percent: int):
                 a, b = ends_of[: len(some)], ends_of[len(some) :]
                 for looked in (_narrow(bits), bits):
                     ones, step = _ones(looked), max(LOOK_BYTES // (8 * looked.shape[1]), 1)
-                    stay = np.zeros(len(a), bool)
+                    stay, most = np.zeros(len(a), bool), np.zeros(len(a), np.int64)
                     for k in range(0, len(a), step):
                         x, y = a[k : k + step], b[k : k + step]
                         spare = np.minimum(n[rows[x]] - ones[x], n[rows[y]] - ones[y])
-                        stay[k : k + step] = spare + _ones(looked[x] & looked[y]) >= need[some[k : k + step]]
-                    a, b, some = a[stay], b[stay], some[stay]
+                        most[k : k + step] = spare + _ones(looked[x] & looked[y])
+                        stay[k : k + step] = most[k : k + step] >= need[some[k : k + step]]
+                    a, b, some, most = a[stay], b[stay], some[stay], most[stay]
                 x, y = name[rows[a]], name[rows[b]]
-                yield np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+                share = most / np.maximum(n[rows[a]] + n[rows[b]] - most, 1)
+                yield low_high(x, y), low_high(comp[rows[a]], comp[rows[b]]), share
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -372,7 +378,13 @@ def _bit_tiles(percent: int):
             t, ends = pa.Table.from_batches(parts).combine_chunks(), np.zeros((0, 2), np.int64)
             if t.num_rows:
                 place = np.stack([t.column(c).to_numpy() for c in ("key", "x", "y")])
-                ends = np.unique(np.concatenate([ends, *able(t, place)]), axis=0)
+                found = [*zip(*able(t, place), strict=True)]
+                if found:
+                    ends, comps, share = (np.concatenate(f) for f in found)
+                    if best:
+                        order = np.lexsort((ends[:, 1], ends[:, 0], -share))
+                        ends = ends[order][np.unique(comps[order], axis=0, return_index=True)[1]]
+                    ends = np.unique(ends, axis=0)
             return pa.record_batch({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
         for batch in batches:
@@ -397,15 +409,12 @@ def _bit_tiles(percent: int):
     return tiles
 
 
-def _pairs(left: DataFrame, tiles: DataFrame, percent: int, apart: bool) -> DataFrame:
+def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of `left` and members of the same tiles, of fitting sizes."""
     near = left.withColumn("band", F.explode(F.expr("sequence(band - 1, band + 1)")))
-    names = {"print": "p", "n": "m", "comp": "c"}
-    near = near.select("key", "band", *[F.col(c).alias(n) for c, n in names.items() if c in near.columns])
+    near = near.select("key", "band", F.col("print").alias("p"), F.col("n").alias("m"))
     met = tiles.join(near, ["key", "band"]).filter("print <> p")
     met = met.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    if apart:
-        met = met.filter("comp <> c")
     return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b")).distinct()
 
 
@@ -414,51 +423,39 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     shape = "key bigint, print bigint, n bigint, pos int"
     first = sets.filter("n > 0").select("print", "n", "shingles").mapInArrow(_prefixes(percent, levels(sets)), shape)
     first = written(first, "jaccard-first")
-    shared = first.groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high"), F.min("n").alias("least"))
-    shared = shared.filter("low <> high").select("key", "least")
+    shared = first.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
+    shared = shared.filter("rows > 1").select("key", "least")
     # Shared with the least set of the tile that may be similar, so with any of them.
     need = F.expr(f"({percent} * (n + greatest(least, ({percent} * n + 99) div 100)) + {99 + percent}) div {100 + percent}")
     tiles = first.join(shared, "key").filter(F.col("n") - F.col("pos") >= need)
     tiles = tiles.groupBy("key", "print").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
     tiles = written(tiles.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
-    links, tested, roots = None, None, None
     tile_rows = tiles.count()
-    for turn in range(MOST_ROUNDS):
-        if roots is None:
-            leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
-            leaders = leaders.select("key", "band", "top.*")
-            pairs = _pairs(leaders, tiles, percent, apart=False)
-        else:
-            held = tiles.join(roots, tiles["print"] == roots["node"], "left")
-            held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
-            sizes = held.groupBy("key", "comp").agg(F.count("*").alias("size"))
-            mains = sizes.groupBy("key").agg(
-                F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("comps")
-            )
-            mains = mains.filter("comps > 1")
-            mains = mains.select("key", F.col("main.comp").alias("main"), "all", (F.col("all") - F.col("main.size")).alias("rest"))
-            mains = written(mains, "jaccard-open")
-            left = mains.agg(F.sum(F.col("all") * F.col("rest"))).first()[0] or 0
-            if not left:
-                break
-            open_tiles = written(held.join(mains, "key"), "jaccard-open")
-            if left <= LAST_ROUND * tile_rows or turn == MOST_ROUNDS - 1:
-                found = written(measured.exact(measured.open_pairs(open_tiles)), "jaccard-links")
-                links = links.unionByName(found)
-                return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            # The others of each tile meet one member of its main component; a set has
-            # many tiles and so meets many members, at a row per tile.
-            others = open_tiles.filter("comp <> main").select("key", "print", "n", "band", "comp")
-            place = F.xxhash64("print", "key", F.lit(turn))
-            mains = open_tiles.filter("comp = main").groupBy("key", "band")
-            mains = mains.agg(F.min_by(F.struct("print", "n", "comp"), place).alias("top"))
-            pairs = _pairs(mains.select("key", "band", "top.*"), others, percent, apart=True)
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        found = written(measured.links(pairs), "jaccard-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+    leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
+    pairs = written(_pairs(leaders.select("key", "band", "top.*"), tiles, percent), "jaccard-pairs")
+    links = written(measured.links(pairs), "jaccard-links")
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    for turn in range(1, MOST_ROUNDS):
+        held = tiles.join(roots, tiles["print"] == roots["node"], "left")
+        held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
+        sizes = held.groupBy("key", "comp").agg(F.count("*").alias("size"))
+        mains = sizes.groupBy("key").agg(
+            F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("comps")
+        )
+        mains = mains.filter("comps > 1")
+        mains = mains.select("key", F.col("main.comp").alias("main"), "all", (F.col("all") - F.col("main.size")).alias("rest"))
+        mains = written(mains, "jaccard-open")
+        left = mains.agg(F.sum(F.col("all") * F.col("rest"))).first()[0] or 0
+        if not left:
+            break
+        open_tiles = written(held.join(mains, "key"), "jaccard-open")
+        last = left <= LAST_ROUND * tile_rows or turn == MOST_ROUNDS - 1
+        found = written(measured.exact(measured.open_pairs(open_tiles, best=not last)), "jaccard-links")
+        links = links.unionByName(found)
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if last:
+            break
     return roots
 
 
