@@ -136,23 +136,27 @@ def parents(parsed: DataFrame) -> DataFrame:
 
 
 def trees(linked: DataFrame) -> DataFrame:
-    """(msg, parent, root, depth): every round doubles how far up a message looks."""
+    """(msg, parent, root, depth): every round doubles how far up a message looks.
+
+    Messages that have found their root are joined no more.
+    """
     step = linked.select("msg", "parent", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("bigint").alias("depth"))
     step = step.withColumn("top", F.coalesce("parent", "msg"))
     step = written(step, "quotes-trees")
-    while not step.filter("up IS NOT NULL").isEmpty():
+    while True:
+        open_rows = step.filter("up IS NOT NULL")
+        if open_rows.isEmpty():
+            break
         above = step.select(F.col("msg").alias("node"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("top").alias("higher"))
-        joined = step.join(above, step["up"] == above["node"], "left")
-        step = written(
-            joined.select(
-                "msg",
-                "parent",
-                F.col("next").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.coalesce("higher", "top").alias("top"),
-            ),
-            "quotes-trees",
+        joined = open_rows.join(above, open_rows["up"] == above["node"], "left")
+        looked = joined.select(
+            "msg",
+            "parent",
+            F.col("next").alias("up"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.coalesce("higher", "top").alias("top"),
         )
+        step = written(looked.unionByName(step.filter("up IS NULL")), "quotes-trees")
     return step.select("msg", "parent", F.col("top").alias("root"), "depth")
 
 
