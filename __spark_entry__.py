@@ -14,10 +14,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidemark.operators import counts, incremental, keyed, tokens, vocabulary  # noqa: E402
 from tidemark.plans import measure  # noqa: E402
 from tidemark.session import scratch_folder  # noqa: E402
+from tidemark.functions import guard_forbidden  # noqa: E402
+from tidemark.sources import text  # noqa: E402
 from tidemark.sources.tables import (  # noqa: E402
     event_tokens,
     read_table,
     stream_events,
+    stream_table,
     with_property,
 )
 from tidemark.streaming import operators as streams  # noqa: E402
@@ -51,10 +54,13 @@ def _numbers(spark, sf):
     return tokens.numbers(_tokens(spark, sf))
 
 
-def _keyed(spark, sf):
-    """Numbers and their layout; the events hold no more of a key than numbers do."""
+def _keyed(spark, sf, parts=1):
+    """Numbers and their layout; the events hold no more of a key than numbers do.
+
+    parts: cut keys that hold more than this share of the rows, also where they are short.
+    """
     events = _events(spark, sf).select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"))
-    return _numbers(spark, sf), measure(events, "key", "seq")
+    return _numbers(spark, sf), measure(events, "key", "seq", min_parts=parts)
 
 
 def _event_words(events):
@@ -100,18 +106,34 @@ def parse_rejects(spark, sf):
     return tokens.rejects(_tokens(spark, sf))
 
 
-def take_until_quit(spark, sf):
-    """A user's stream quits at their first purchase with k above 90."""
-    events = with_property(_events(spark, sf))
+def _quits(events):
     quits = (F.col("event_type") == "purchase") & (F.col("k").try_cast("bigint") > 90)
-    rows = events.select(
+    return with_property(events).select(
         F.col("user_id").alias("key"),
         F.col("event_id").alias("seq"),
         F.when(quits, "quit").otherwise(F.col("event_type")).alias("tok"),
     )
+
+
+def take_until_quit(spark, sf):
+    """A user's stream quits at their first purchase with k above 90."""
+    rows = _quits(_events(spark, sf))
     return tokens.take_until(rows, measure(rows, "key", "seq"))
 
 
+def guarded_numbers(spark, sf):
+    """Numbers that would fail the query if the forbidden one were among them."""
+    return _numbers(spark, sf).withColumn("n", guard_forbidden(F.col("n")))
+
+
+def text_word_count(spark, sf):
+    """Words of a text copy of the conversations, read back line by line."""
+    folder = scratch_folder(spark, "lines")
+    turns = read_table(spark, sf, "conversations").select("text").filter("text IS NOT NULL")
+    turns.write.text(folder)
+    return counts.word_count(tokens.words(text.read_lines(spark, folder)))
+
+
 def resettable_sum(spark, sf):
     return keyed.resettable_sum(*_keyed(spark, sf))
 
@@ -187,15 +209,41 @@ def accepted_words(spark, sf):
     return vocabulary.accepted_words(words, measure(words, "key", "seq"))
 
 
-# --- streaming queries ------------------------------------------------------
+# The same with every key of more than a 256th of the rows cut into chunks.
+PARTS = 256
+
+
+def resettable_sum_split(spark, sf):
+    return keyed.resettable_sum(*_keyed(spark, sf, PARTS))
+
+
+def list_state_split(spark, sf):
+    return keyed.list_state(*_keyed(spark, sf, PARTS))
 
 
-# Stateful streams hold a key's share of a batch in a task, so batches are bounded.
-FILES_PER_BATCH = 16
+def state_snapshot_split(spark, sf):
+    return keyed.state_snapshot(*_keyed(spark, sf, PARTS))
 
 
-def _stream_numbers(spark, sf):
-    return tokens.numbers(event_tokens(stream_events(spark, sf, FILES_PER_BATCH)))
+def running_avg_split(spark, sf):
+    return keyed.running_average(*_keyed(spark, sf, PARTS))
+
+
+def pair_avg_split(spark, sf):
+    return keyed.pair_average(*_keyed(spark, sf, PARTS))
+
+
+def vocabulary_split(spark, sf):
+    words = _event_words(_events(spark, sf))
+    return vocabulary.vocabulary(words, measure(words, "key", "seq", min_parts=PARTS))
+
+
+# --- streaming queries ------------------------------------------------------
+
+
+# Streams whose result depends on the order run in three micro-batches at least, with a
+# restart before each but the first.
+BATCHES = 3
 
 
 def _folders(spark):
@@ -203,15 +251,53 @@ def _folders(spark):
     return f"{base}/checkpoint", f"{base}/output"
 
 
+def _run_events(spark, sf, writer, checkpoint, cuts=None):
+    """Feeds the events to a stream in the order of their ids."""
+    events = _events(spark, sf)
+    if cuts is None:
+        cuts = run.even_cuts(events, "event_id", least=BATCHES)
+    run.run_in_order(writer, events, "event_id", cuts, scratch_folder(spark, "arrived"), checkpoint)
+
+
+def _output_of(spark, sf, operator):
+    """Rows that `operator`, a stream of a stream of events, emits."""
+    checkpoint, output = _folders(spark)
+    schemas = []
+
+    def writer(events):
+        stream = operator(events)
+        schemas.append(stream.schema)
+        return run.to_table(stream, output)
+
+    _run_events(spark, sf, writer, checkpoint)
+    return spark.read.schema(schemas[0]).parquet(output)
+
+
+def _stream_numbers(events):
+    return tokens.numbers(event_tokens(events))
+
+
 def stream_word_count(spark, sf):
-    """The state of a stream that counts event types."""
+    """The state of a stream that counts the words of lines."""
     checkpoint, _ = _folders(spark)
-    words = stream_events(spark, sf).select(F.col("event_type").alias("word"))
+    words = tokens.words(stream_table(spark, sf, "documents"), "text")
     run.run_available(run.to_state(streams.word_count(words)), checkpoint)
     stored = state.read_state(spark, checkpoint)
     return stored.select("key.word", "value.count")
 
 
+def stream_running_word_count(spark, sf):
+    def counted(events):
+        words = events.select(F.col("event_type").alias("word"), F.col("event_id").alias("seq"))
+        return streams.running_count(words)
+
+    return _output_of(spark, sf, counted)
+
+
+def stream_take_until_quit(spark, sf):
+    return _output_of(spark, sf, lambda events: streams.take_until(_quits(events)))
+
+
 def stream_tumbling_count(spark, sf):
     """Windows that the stream has closed, and those still open in its state.
 
@@ -231,51 +317,72 @@ def stream_tumbling_count(spark, sf):
 
 def stream_last_input(spark, sf):
     checkpoint, _ = _folders(spark)
-    inputs = _stream_numbers(spark, sf).withColumn("label", F.lit("avg"))
+    inputs = _stream_numbers(stream_events(spark, sf)).withColumn("label", F.lit("avg"))
     run.run_available(run.to_state(streams.last_input(inputs, "label")), checkpoint)
     stored = state.read_state(spark, checkpoint)
     value = stored.schema["value"].dataType.names[0]
     return stored.select("key.label", F.col(f"value.{value}").alias("value"))
 
 
-def _run_sums(spark, sf, keep_list=False):
-    checkpoint, output = _folders(spark)
-    stream = streams.resettable_sum(_stream_numbers(spark, sf), keep_list=keep_list)
-    run.run_available(run.to_table(stream, output), checkpoint)
-    return checkpoint, spark.read.schema(stream.schema).parquet(output)
+def _sums_state(spark, sf, keep_list=False, cuts=None):
+    """Checkpoint of the streamed sums."""
+    checkpoint, _ = _folders(spark)
+
+    def writer(events):
+        sums = streams.resettable_sum(_stream_numbers(events), keep_list=keep_list)
+        return run.to_state(sums, "append")
+
+    _run_events(spark, sf, writer, checkpoint, cuts)
+    return checkpoint
 
 
 def stream_resettable_sum(spark, sf):
-    return _run_sums(spark, sf)[1]
+    return _output_of(
+        spark, sf, lambda events: streams.resettable_sum(_stream_numbers(events), keep_list=False)
+    )
 
 
 def stream_value_state(spark, sf):
-    return state.value_state(spark, _run_sums(spark, sf)[0])
+    return state.value_state(spark, _sums_state(spark, sf))
+
+
+def stream_value_state_past(spark, sf):
+    """The sums as they were when the stream had seen the lower half of the ids."""
+    middle = F.floor((F.min("event_id") + F.max("event_id")) / 2)
+    cut = _events(spark, sf).agg(middle).first()[0]
+    return state.value_state(spark, _sums_state(spark, sf, cuts=[cut]), batch=0)
 
 
 def stream_list_state(spark, sf):
-    return state.list_state(spark, _run_sums(spark, sf, keep_list=True)[0])
+    return state.list_state(spark, _sums_state(spark, sf, keep_list=True))
 
 
 def stream_map_state(spark, sf):
-    return state.map_state(spark, _run_sums(spark, sf)[0])
+    return state.map_state(spark, _sums_state(spark, sf))
 
 
 def stream_state_snapshot(spark, sf):
-    return state.snapshot(spark, _run_sums(spark, sf, keep_list=True)[0])
+    return state.snapshot(spark, _sums_state(spark, sf, keep_list=True))
+
+
+def stream_lookup(spark, sf):
+    """The five states of every user, and of as many keys that there are not."""
+    users = F.array(F.col("user_id"), -1 - F.col("user_id"))
+    keys = _events(spark, sf).select(F.explode(users).alias("key"))
+    return state.lookup_many(keys, _sums_state(spark, sf, keep_list=True))
 
 
 def stream_running_avg(spark, sf):
-    checkpoint, output = _folders(spark)
-    stream = streams.running_average(_stream_numbers(spark, sf))
-    run.run_available(run.to_table(stream, output), checkpoint)
-    return spark.read.schema(stream.schema).parquet(output)
+    return _output_of(spark, sf, lambda events: streams.running_average(_stream_numbers(events)))
 
 
 def stream_vocabulary(spark, sf):
     checkpoint, _ = _folders(spark)
-    words = _event_words(stream_events(spark, sf, FILES_PER_BATCH))
-    run.run_available(run.to_state(streams.vocabulary(words), "append"), checkpoint)
+
+    def writer(events):
+        return run.to_state(streams.vocabulary(_event_words(events)), "append")
+
+    _run_events(spark, sf, writer, checkpoint)
     return state.vocabulary(spark, checkpoint)
 
 
@@ -312,11 +419,23 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_avg": pair_avg,
         "vocabulary": vocabulary_list,
         "accepted_words": accepted_words,
+        "guarded_numbers": guarded_numbers,
+        "text_word_count": text_word_count,
+        "resettable_sum_split": resettable_sum_split,
+        "list_state_split": list_state_split,
+        "state_snapshot_split": state_snapshot_split,
+        "running_avg_split": running_avg_split,
+        "pair_avg_split": pair_avg_split,
+        "vocabulary_split": vocabulary_split,
         "stream_word_count": stream_word_count,
+        "stream_running_word_count": stream_running_word_count,
+        "stream_take_until_quit": stream_take_until_quit,
         "stream_tumbling_count": stream_tumbling_count,
         "stream_last_input": stream_last_input,
         "stream_resettable_sum": stream_resettable_sum,
         "stream_value_state": stream_value_state,
+        "stream_value_state_past": stream_value_state_past,
+        "stream_lookup": stream_lookup,
         "stream_list_state": stream_list_state,
         "stream_map_state": stream_map_state,
         "stream_state_snapshot": stream_state_snapshot,
@@ -427,7 +546,46 @@ _VOCABULARY = _WORD_STREAM + """
 SELECT key, row_number() OVER (PARTITION BY key ORDER BY first) - 1 AS pos, word, count
 FROM entries"""
 
-_EVENT_COUNT = "SELECT event_type AS word, count(*) AS count FROM events GROUP BY event_type"
+_PAIR_AVG = _NUMBERS + """,
+pairs AS (
+  SELECT key, seq, place, (n + lag(n) OVER (PARTITION BY key, epoch ORDER BY seq)) / 2.0 AS avg
+  FROM sums)
+SELECT key, seq, CAST(avg AS DOUBLE) AS avg FROM pairs WHERE place % 2 = 0"""
+
+_PAST_VALUES = _VALUE_STATE.replace(
+    "FROM events)",
+    "FROM events WHERE event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events))",
+)
+
+_LOOKUP = f"""
+WITH snap AS ({_SNAPSHOT}),
+wanted AS (SELECT DISTINCT unnest([user_id, -1 - user_id]) AS key FROM events),
+names AS (SELECT unnest(['value-query', 'list-query', 'map-query', 'reduce-query', 'keyed-query'])
+          AS state_name)
+SELECT state_name, key, pos, map_key, value, coalesce(found, false) AS found
+FROM (SELECT * FROM wanted CROSS JOIN names) LEFT JOIN snap USING (state_name, key)"""
+
+_PARSED = _TOKENS + "SELECT key, seq, n FROM parsed WHERE n IS NOT NULL"
+
+_RUNNING_COUNT = """
+SELECT event_type AS word, event_id AS seq,
+       row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS count
+FROM events"""
+
+_UNTIL_QUIT = """
+WITH toks AS (
+  SELECT user_id AS key, event_id AS seq,
+         CASE WHEN event_type = 'purchase'
+                   AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) > 90
+              THEN 'quit' ELSE event_type END AS tok
+  FROM events),
+ends AS (SELECT key, min(seq) AS ended FROM toks WHERE tok = 'quit' GROUP BY key)
+SELECT key, seq, tok FROM toks LEFT JOIN ends USING (key)
+WHERE ended IS NULL OR seq < ended"""
+
+_WORD_COUNT = _WORDS + "SELECT word, count(*) AS count FROM words GROUP BY word"
+
+_SUMS = _NUMBERS + "SELECT key, seq, n, total FROM sums"
 
 _TUMBLING = """
 SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start, event_type, count(*) AS count
@@ -440,7 +598,7 @@ def oracle_sql() -> dict[str, str]:
 
 def stream_sql() -> dict[str, str]:
     return {
-        "word_count": _WORDS + "SELECT word, count(*) AS count FROM words GROUP BY word",
+        "word_count": _WORD_COUNT,
         "word_count_formatted": _WORDS
         + "SELECT word || ' : ' || count(*) AS line FROM words GROUP BY word",
         "tokens": f"""
@@ -448,25 +606,13 @@ def stream_sql() -> dict[str, str]:
             SELECT conv_id, turn, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos,
                    unnest(toks) AS tok
             FROM split""",
-        "running_word_count": """
-            SELECT event_type AS word, event_id AS seq,
-                   row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS count
-            FROM events""",
+        "running_word_count": _RUNNING_COUNT,
         "tumbling_count": _TUMBLING,
-        "parse_numbers": _TOKENS + "SELECT key, seq, n FROM parsed WHERE n IS NOT NULL",
+        "parse_numbers": _PARSED,
         "parse_rejects": _TOKENS
         + "SELECT key, seq, tok FROM parsed WHERE n IS NULL AND tok IS NOT NULL",
-        "take_until_quit": """
-            WITH toks AS (
-              SELECT user_id AS key, event_id AS seq,
-                     CASE WHEN event_type = 'purchase'
-                               AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) > 90
-                          THEN 'quit' ELSE event_type END AS tok
-              FROM events),
-            ends AS (SELECT key, min(seq) AS ended FROM toks WHERE tok = 'quit' GROUP BY key)
-            SELECT key, seq, tok FROM toks LEFT JOIN ends USING (key)
-            WHERE ended IS NULL OR seq < ended""",
-        "resettable_sum": _NUMBERS + "SELECT key, seq, n, total FROM sums",
+        "take_until_quit": _UNTIL_QUIT,
+        "resettable_sum": _SUMS,
         "resettable_sum_chunked": _TOKENS + """,
             num AS (SELECT seq, n FROM parsed WHERE n IS NOT NULL),
             epochs AS (
@@ -486,19 +632,30 @@ def stream_sql() -> dict[str, str]:
         "last_input": _LAST_INPUT,
         "state_snapshot": _SNAPSHOT,
         "running_avg": _RUNNING_AVG,
-        "pair_avg": _NUMBERS + """,
-            pairs AS (
-              SELECT key, seq, place, (n + lag(n) OVER (PARTITION BY key, epoch ORDER BY seq)) / 2.0
-                     AS avg
-              FROM sums)
-            SELECT key, seq, CAST(avg AS DOUBLE) AS avg FROM pairs WHERE place % 2 = 0""",
+        "pair_avg": _PAIR_AVG,
         "vocabulary": _VOCABULARY,
         "accepted_words": _WORD_STREAM + "SELECT key, seq, word FROM marked WHERE NOT clears",
-        "stream_word_count": _EVENT_COUNT,
+        "guarded_numbers": _PARSED,
+        "text_word_count": f"""
+            WITH lines AS (
+              SELECT unnest(string_split(text, E'\n')) AS text FROM conversations),
+            words AS (SELECT unnest({_SPLIT}) AS word FROM lines)
+            SELECT word, count(*) AS count FROM words GROUP BY word""",
+        "resettable_sum_split": _SUMS,
+        "list_state_split": _LIST_STATE,
+        "state_snapshot_split": _SNAPSHOT,
+        "running_avg_split": _RUNNING_AVG,
+        "pair_avg_split": _PAIR_AVG,
+        "vocabulary_split": _VOCABULARY,
+        "stream_word_count": _WORD_COUNT,
+        "stream_running_word_count": _RUNNING_COUNT,
+        "stream_take_until_quit": _UNTIL_QUIT,
         "stream_tumbling_count": _TUMBLING,
         "stream_last_input": _LAST_INPUT,
         "stream_resettable_sum": _NUMBERS + "SELECT key, seq, total FROM sums",
         "stream_value_state": _VALUE_STATE,
+        "stream_value_state_past": _PAST_VALUES,
+        "stream_lookup": _LOOKUP,
         "stream_list_state": _LIST_STATE,
         "stream_map_state": _MAP_STATE,
         "stream_state_snapshot": _SNAPSHOT,

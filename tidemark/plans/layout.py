@@ -6,9 +6,10 @@ a bad one for a key that holds, say, a third of the table.  `measure` finds
 the heavy ones; `segmented_scan` gives those a chunk number per row.
 
 Heavy keys are looked for by hash slot, not by key: however many keys there
-are, the count table has at most `SLOTS` rows, so map tasks shrink their part
-to that size before the shuffle and the driver receives a bounded result.  A
-slot counts at least as many rows as any key in it, so no heavy key is missed.
+are, the count table has no more rows than slots, so map tasks shrink their part
+to that size before the shuffle.  There are as many slots as keep the mean slot well
+below the limit, which is the same for every input; only the heavy ones, one per
+`group_rows` rows at most, reach the driver.  A slot counts at least as many rows as any key in it, so no heavy key is missed.
 Light keys that share a slot with a heavy one are split along with it, which
 costs a little time and changes no result.
 """
@@ -21,9 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Slots at least, and how many mean slots the limit of a heavy one is at least.
 SLOTS = 1 << 16
-# A slot is heavy from this multiple of the mean slot on; hence at most
-# SLOTS / HEAVY of them exist.
 HEAVY = 8
 # Bins of the histogram, and chunks per key at most, as powers of two.
 BIN_BITS = 12
@@ -53,9 +53,12 @@ class Layout:
     heavy: tuple[int, ...] = ()
     bits: int = 0
     low: int | None = None
+    slots: int = SLOTS
 
     def is_heavy(self) -> Column:
-        return slot(self.keys).isin(list(self.heavy)) if self.keys else F.lit(True)
+        if not self.keys:
+            return F.lit(True)
+        return slot(self.keys, self.slots).isin(list(self.heavy))
 
     def position(self) -> Column:
         """The order as one comparable column."""
@@ -71,8 +74,17 @@ class Layout:
         return F.coalesce(F.shiftright(position, self.bits), F.lit(0))
 
 
-def slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)) if keys else F.lit(0).cast("bigint")
+def slot(keys: Sequence[str], slots: int = SLOTS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(slots)) if keys else F.lit(0).cast("bigint")
+
+
+def slots_for(rows: int, group_rows: int) -> int:
+    """A power of two, so that `HEAVY` mean slots are no more than `group_rows` rows.
+
+    Small inputs that are split for want of parts keep to the least number.
+    """
+    wanted = HEAVY * rows // max(group_rows, GROUP_ROWS)
+    return max(SLOTS, 1 << wanted.bit_length())
 
 
 def measure(
@@ -82,10 +94,9 @@ def measure(
     group_rows: int = GROUP_ROWS,
     min_parts: int = 1,
 ) -> Layout:
-    """Layout for `df`, from one pass over its key and first order column.
+    """Layout for `df`, from a count and one pass over its key and first order column.
 
-    Runs a Spark job.  A slot is heavy when it holds more rows than both
-    `group_rows` and `HEAVY` mean slots.
+    Runs Spark jobs.  A slot is heavy when it holds more rows than `group_rows`.
 
     A single order column is unique within a key, so chunks that span `group_rows`
     values hold no more rows than that.  Where the heavy rows are too sparse for
@@ -97,20 +108,21 @@ def measure(
     rows is cut into about that many chunks at least.
     """
     keys, order = names(keys), names(order)
+    total = df.count()
+    group_rows = max(1, min(group_rows, total // min_parts))
+    slots = slots_for(total, group_rows)
     rows = df.select(
-        slot(keys).alias("slot"), F.col(order[0]).cast("bigint").alias("position")
+        slot(keys, slots).alias("slot"), F.col(order[0]).cast("bigint").alias("position")
     )
     counts = rows.groupBy("slot").agg(
         F.count("*").alias("n"), F.min("position").alias("low"), F.max("position").alias("high")
     )
-    slots = counts.collect()  # at most SLOTS rows
-    total = sum(row["n"] for row in slots)
-    group_rows = max(1, min(group_rows, total // min_parts))
-    limit = max(group_rows, HEAVY * total // SLOTS)
-    heavy = [row for row in slots if row["n"] > limit]
-    low = min((row["low"] for row in slots), default=None)
+    # The least position of all rows, and the heavy slots only.
+    least = F.min(F.col("low")).alias("low")
+    heavy_rows = F.collect_list(F.when(F.col("n") > group_rows, F.struct("slot", "n", "low", "high")))
+    low, heavy = counts.agg(least, heavy_rows.alias("heavy")).first()
     if not heavy:
-        return Layout(keys, order, low=low)
+        return Layout(keys, order, low=low, slots=slots)
     found = tuple(sorted(row["slot"] for row in heavy))
     span = max(row["high"] for row in heavy) - min(row["low"] for row in heavy) + 1
     unique = len(order) == 1
@@ -118,7 +130,7 @@ def measure(
     if not unique or span > SPARSE * sum(row["n"] for row in heavy):
         measured = _measured_width(rows, found, span, group_rows)
         width = max(measured, group_rows if unique else 1)
-    return Layout(keys, order, found, width.bit_length() - 1, low)
+    return Layout(keys, order, found, width.bit_length() - 1, low, slots)
 
 
 def _measured_width(rows: DataFrame, slots: tuple[int, ...], span: int, group_rows: int) -> int:

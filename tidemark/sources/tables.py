@@ -17,6 +17,13 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def stream_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table, one file or a folder of them, as a stream; a batch is all that has arrived."""
+    schema = read_table(spark, folder, table).schema
+    # A pattern, since a stream takes a plain path for a folder.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
+
+
 def stream_events(
     spark: SparkSession, folder: str, files_per_batch: int | None = None
 ) -> DataFrame:

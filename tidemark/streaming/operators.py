@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from tidemark.functions.tokens import QUIT_TOKEN
 from tidemark.operators.keyed import is_clear
 from tidemark.plans.layout import names
 from tidemark.streaming import processors
-from tidemark.streaming.processors import ResettableSum, RunningAverage, Vocabulary
+from tidemark.streaming.processors import (
+    ResettableSum,
+    RunningAverage,
+    RunningCount,
+    TakeUntil,
+    Vocabulary,
+)
 
 # Executors get the processors with the query and need no copy of this package.
 cloudpickle.register_pickle_by_value(processors)
@@ -30,17 +37,19 @@ def tumbling_count(
     width: str = "5 seconds",
     *,
     delay: str,
+    n: str | None = None,
 ) -> DataFrame:
-    """Count per word and window: (window, word, count), in UTC.
+    """Sum of `n` (of 1 where not given) per word and window: (window, word, count), in UTC.
 
     Append mode emits a window once the watermark, `delay` behind the latest
     event, has passed it; the state holds the open windows only.  Rows later
     than that would be lost, so choose `delay` after the disorder of the source; there
     is no default, and `run_available` fails if rows were dropped.
     """
-    timed = stream.select(F.col(ts).cast("timestamp").alias(ts), word)
+    added = [F.col(n).cast("bigint").alias(n)] if n else []
+    timed = stream.select(F.col(ts).cast("timestamp").alias(ts), word, *added)
     windows = timed.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("window"), word)
-    return windows.agg(F.count("*").alias("count"))
+    return windows.agg((F.sum(n) if n else F.count("*")).alias("count"))
 
 
 def last_input(numbers: DataFrame, keys: str | Sequence[str], order: str = "seq") -> DataFrame:
@@ -81,6 +90,24 @@ def running_average(
     return _apply(numbers, RunningAverage, keys, order, ["n"], avg)
 
 
+def running_count(
+    stream: DataFrame, keys: str | Sequence[str] = "word", order: str | Sequence[str] = "seq"
+) -> DataFrame:
+    """Every occurrence with the number of times its word has come up: (keys, order, count)."""
+    return _apply(stream, RunningCount, keys, order, [], StructField("count", LongType()))
+
+
+def take_until(
+    stream: DataFrame,
+    keys: str | Sequence[str] = "key",
+    order: str | Sequence[str] = "seq",
+    marker: str = QUIT_TOKEN,
+) -> DataFrame:
+    """Rows of each key before its first marker token, in whichever batch that comes."""
+    tok = StructField("tok", StringType())
+    return _apply(stream, TakeUntil, keys, order, ["tok"], tok, marker=marker)
+
+
 def vocabulary(
     stream: DataFrame, keys: str | Sequence[str] = "key", order: str | Sequence[str] = "seq"
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming.stateful_processor import (
     TimerValues,
 )
 
-from tidemark.functions.tokens import CLEAR, CLEAR_WORDS_TOKEN
+from tidemark.functions.tokens import CLEAR, CLEAR_WORDS_TOKEN, QUIT_TOKEN
 
 SEGMENT = 8192
 LOW_HALF = (1 << 32) - 1
@@ -178,6 +178,52 @@ class RunningAverage(StatefulProcessor):
             yield batch.loc[keep, self.keys + self.order].assign(avg=averages)
 
 
+class RunningCount(StatefulProcessor):
+    """Emits (keys, order, count) per row: how often its key has come up so far."""
+
+    def __init__(self, keys: list[str], order: list[tuple[str, str]]):
+        self.keys, self.order = keys, [name for name, _ in order]
+        self.fields = _fields(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", f"n bigint{self.fields}")
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
+    ) -> Iterator[pd.DataFrame]:
+        batch = _sorted(rows, self.order)
+        before, *last = self.count.get() or (0,)
+        last = _follows(batch, self.order, last)
+        self.count.update((before + len(batch), *last))
+        counts = before + np.arange(1, len(batch) + 1)
+        yield batch[self.keys + self.order].assign(count=counts)
+
+
+class TakeUntil(StatefulProcessor):
+    """Emits the rows of a key before its first marker; keeps whether that has come."""
+
+    def __init__(self, keys: list[str], order: list[tuple[str, str]], marker: str = QUIT_TOKEN):
+        self.keys, self.order, self.marker = keys, [name for name, _ in order], marker
+        self.fields = _fields(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ended = handle.getValueState("ended", f"yes boolean{self.fields}")
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
+    ) -> Iterator[pd.DataFrame]:
+        ended, *last = self.ended.get() or (False,)
+        if ended:  # what comes after the end is of no interest, in any order
+            return
+        batch = _sorted(rows, self.order)
+        last = _follows(batch, self.order, last)
+        found = np.flatnonzero((batch["tok"] == self.marker).to_numpy())
+        self.ended.update((len(found) > 0, *last))
+        kept = batch.iloc[: found[0]] if len(found) else batch
+        if len(kept):
+            yield kept[self.keys + self.order + ["tok"]]
+
+
 class Vocabulary(StatefulProcessor):
     """Emits the words it stores; keeps (word -> count, place) since the last clear.
 

@@ -8,10 +8,11 @@ through failures and restarts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # State on local disk with uploads of changes only, so that a batch costs what
@@ -80,3 +81,50 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     )
     if late:
         raise ValueError(f"{late} rows came later than the watermark's delay and were dropped")
+
+
+#: Rows of a part, which bounds a key's share of a batch.
+PART_ROWS = 1 << 22
+
+
+def even_cuts(
+    rows: DataFrame, order: str, part_rows: int = PART_ROWS, least: int = 1
+) -> list[int]:
+    """Places in the order that part `rows` into about equal parts, `least` at least."""
+    count = rows.count()
+    parts = max(least, -(-count // part_rows))
+    if not count or parts < 2:
+        return []
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    # The error of a place is a small part of a part.
+    cuts = rows.agg(F.percentile_approx(order, shares, 20 * parts)).first()[0]
+    return sorted(set(cuts))
+
+
+def run_in_order(
+    writer: Callable[[DataFrame], DataStreamWriter],
+    rows: DataFrame,
+    order: str,
+    cuts: Sequence[int],
+    folder: str,
+    checkpoint: str,
+) -> None:
+    """Feed a table to a stateful stream in its order, however its files interleave.
+
+    The rows up to each cut, and those behind the last, are put into `folder`, a new one,
+    and worked off by a start of the stream on `checkpoint`: one micro-batch and
+    one restart per part.  Rows without an order value come first.
+    """
+    spark = rows.sparkSession
+    place, low = F.col(order), None
+    for high in [*cuts, None]:
+        part = rows
+        if low is not None:
+            part = part.filter(place > low)
+        if high is not None:
+            below = place <= high
+            part = part.filter(below if low is not None else below | place.isNull())
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        run_available(writer(stream), checkpoint)
+        low = high

@@ -156,12 +156,49 @@ def lookup(
 
 
 def _of_key(spark, checkpoint, name, parts, batch):
-    state = READERS[name](spark, checkpoint, batch)
-    keys = [c for c in state.columns if c not in ("pos", "map_key", "value", "n")]
+    rows = _elements(spark, checkpoint, name, batch)
+    keys = [c for c in rows.columns if c not in ("state_name", "pos", "map_key", "value")]
     match = reduce(Column.__and__, [F.col(c) == F.lit(p) for c, p in zip(keys, parts, strict=True)])
-    rows = state.filter(match)
+    return rows.filter(match).select("state_name", "pos", "map_key", "value")
+
+
+def lookup_many(
+    keys: DataFrame,
+    checkpoint: str,
+    states: str | Sequence[str] = tuple(VARIABLES),
+    batch: int | None = None,
+) -> DataFrame:
+    """States of all keys of a table: (state_name, keys, pos, map_key, value, found).
+
+    One read of each state, joined with the distinct keys, whose columns are named and
+    typed as those of the state.  What a key does not hold is one row with found = false.
+    """
+    spark, asked = keys.sparkSession, names(states)
+    kept = {row["name"] for row in state_names(spark, checkpoint).collect()}
+    if not kept:
+        raise ValueError(f"no states are kept under {checkpoint}")
+    columns = keys.columns
+    wanted = keys.distinct().select(
+        *columns, F.explode(F.array(*[F.lit(name) for name in asked])).alias("state_name")
+    )
+    held = [_elements(spark, checkpoint, name, batch) for name in asked if VARIABLES[name] in kept]
+    if held:
+        found = wanted.join(reduce(DataFrame.unionByName, held), ["state_name", *columns], "left")
+    else:
+        nothing = {"pos": "bigint", "map_key": "string", "value": "bigint"}
+        found = wanted.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
+    return found.select(
+        "state_name", *columns, "pos", "map_key", "value", F.col("value").isNotNull().alias("found")
+    )
+
+
+def _elements(spark, checkpoint, name, batch):
+    """A state as (state_name, keys, pos, map_key, value)."""
+    rows = READERS[name](spark, checkpoint, batch)
+    keys = [c for c in rows.columns if c not in ("pos", "map_key", "value", "n")]
     return rows.select(
         F.lit(name).alias("state_name"),
+        *keys,
         F.col("pos") if "pos" in rows.columns else F.lit(None).cast("bigint").alias("pos"),
         F.col("map_key") if "map_key" in rows.columns else F.lit(None).cast("string").alias("map_key"),
         F.col("n" if "n" in rows.columns else "value").alias("value"),
