@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import counts, keyed, tokens, vocabulary
 from tidemark.plans import Layout, measure
+from tidemark.plans.layout import GROUP_ROWS, HEAVY, SLOTS, slots_for
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import event_tokens, read_table
 
@@ -87,6 +88,13 @@ def test_measure_finds_the_hot_key(table):
     assert measure(df, (), "seq", min_parts=16).heavy
 
 
+def test_the_limit_of_a_heavy_slot_does_not_grow():
+    for rows in (10**6, 10**9, 10**12):
+        assert HEAVY * rows / slots_for(rows, GROUP_ROWS) <= max(GROUP_ROWS, HEAVY * rows / SLOTS)
+    assert slots_for(10**12, GROUP_ROWS) * GROUP_ROWS >= HEAVY * 10**12
+    assert slots_for(10**6, 5) == SLOTS
+
+
 def test_chunks_stay_small_where_rows_are_dense(table):
     """Nine tenths of a key's rows lie in a hundredth of its range."""
     rows = [(1, i * 1000) for i in range(1000)] + [(1, 500_000 + i) for i in range(1, 9000)]

@@ -13,7 +13,15 @@ from tidemark.sources import text
 from tidemark.streaming import operators as streams
 from tidemark.streaming import state
 from tidemark.streaming.processors import SegmentedList, _sums_since
-from tidemark.streaming.run import run_available, start, to_console, to_state, to_table
+from tidemark.streaming.run import (
+    even_cuts,
+    run_available,
+    run_in_order,
+    start,
+    to_console,
+    to_state,
+    to_table,
+)
 
 SCHEMA = "key bigint, seq bigint, n bigint"
 
@@ -301,3 +309,29 @@ def test_late_rows_fail_the_run(spark, source):
 def test_lookup_fails_on_a_missing_checkpoint(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)state|exist|checkpoint"):
         state.lookup(spark, f"{tmp_path}/nowhere", 1).collect()
+
+
+def test_a_table_of_interleaved_files_is_fed_in_order(spark, source, tmp_path):
+    """Twenty files, each with rows from all over the order."""
+    rows = number_stream(24, keys=5, length=20, hot=100)
+    spark.createDataFrame(rows, SCHEMA).repartition(20).write.parquet(str(tmp_path / "table"))
+    table = spark.read.parquet(str(tmp_path / "table"))
+    cuts = even_cuts(table, "seq", least=3)
+    assert len(cuts) == 2
+    folder = str(tmp_path / "arrived")
+    run_in_order(
+        lambda s: to_table(streams.resettable_sum(s), source.out), table, "seq", cuts, folder, source.checkpoint
+    )
+    assert source.output("key", "seq", "total") == sorted(
+        (k, seq, total) for k, m in run(Sums, rows).items() for seq, _, total in m.out
+    )
+
+
+def test_take_until_over_batches(source):
+    schema = "key bigint, seq bigint, tok string"
+    source.drop([(1, 0, "a"), (2, 1, "quit"), (1, 2, None)], schema)
+    source.drop([(1, 4, "quit"), (1, 3, "b"), (2, 5, "c"), (1, 6, "d")], schema)
+    source.drop([(1, 7, "e"), (3, 8, "f")], schema)
+    stream = streams.take_until(source.stream(schema))
+    run_available(to_table(stream, source.out), source.checkpoint)
+    assert sorted(source.output("seq", "key")) == [(0, 1), (2, 1), (3, 1), (8, 3)]
