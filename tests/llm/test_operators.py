@@ -197,6 +197,15 @@ def test_decontamination(spark, docs, none):
     assert tiling.leaks(none, items).count() == tiling.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_accented_capitals_are_leaks(spark):
+    text = "¿Qué canción oirían mañana los niños del último pueblo según el rey Ōtaka?"
+    items = spark.createDataFrame([(1, text), (2, text.upper())], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, text), (2, text.upper()), (3, "nothing of it")], "doc_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]): r["coverage"] for r in tiling.leaks(docs, items).collect()}
+    assert found == {(d, i): 1.0 for d in (1, 2) for i in (1, 2)}
+    assert [r["doc_id"] for r in tiling.clean(docs, items).collect()] == [3]
+
+
 PAGES = [
     (1, "http://a", "<p>same</p>"),
     (2, "http://b\r\nX: y", "<p>same</p>"),

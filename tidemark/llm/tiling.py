@@ -11,7 +11,7 @@ items' seeds, whose size is fixed, and keeps only stretches of hits.  The seeds
 are joined with the items' seeds, and each pair of document and item that shares one is
 tiled on the kept stretches, which gives the same tiles as the whole text would.
 
-Tokens are runs of letters and digits, ASCII letters lower-cased; they are compared by
+Tokens are runs of letters and digits of the texts in lower case; they are compared by
 64-bit hashes.
 
 Defined results: null and empty texts are in no pair, nor are items shorter than a
@@ -105,7 +105,7 @@ def _matches(item, text, free_item, free_text, length):
 
 def _tokens(texts: pa.Array, hasher: W.Hasher) -> tuple[np.ndarray, np.ndarray]:
     words = W.split(texts, W.PUNCTUATION)
-    hashes = hasher.words(words, lower=True)
+    hashes = hasher.words(words, lower=False)
     return np.where(hashes == 0, np.uint64(1), hashes), words.first
 
 
@@ -204,11 +204,11 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
 def coverage(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, item_id, item_tokens, covered_tokens, tiles, coverage) of pairs with a seed."""
     null = F.lit(NULL_ID)
-    item = items.select(F.coalesce(F.col("item_id").cast("bigint"), null).alias("item"), "text")
+    item = items.select(F.coalesce(F.col("item_id").cast("bigint"), null).alias("item"), F.lower("text").alias("text"))
     item = item.mapInArrow(_items(least), "item bigint, tokens binary, seeds array<bigint>")
     item = written(item, "tiling-items")
     seeds = item.select("item", F.explode("seeds").alias("seed")).distinct()
-    given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), null).alias("doc"), "text")
+    given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), null).alias("doc"), F.lower("text").alias("text"))
     columns = "doc bigint, tokens binary, seeds array<bigint>"
     hits = written(given.mapInArrow(_stretches(least, _bitmap(seeds)), columns), "tiling-hits")
     pairs = hits.select("doc", F.explode("seeds").alias("seed")).join(seeds, "seed")
