@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     jaccard,
     language,
+    mails,
     mixing,
     quality,
     quotes,
@@ -21,7 +22,7 @@ from tidemark.llm import (
     warc,
 )
 from tidemark.llm.components import components
-from tidemark.llm.queries import tokenizer_path
+from tidemark.llm.queries import op10_quotes, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string, lang string, source string, size int, row string"
@@ -357,3 +358,39 @@ def test_quotes(spark):
         7: (1, 1, 1, 4, "Skips one."),
     }
     assert quotes.conversations(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_turns_quote_across_tasks(spark, tmp_path, parts):
+    def said(conv, turn):
+        return f"Turn {turn} of {conv} says something of its own.\nIts line {turn * 7 + 1} for {conv}."
+
+    gaps = {(5, 0), (5, 3), (5, 4), *((7, t) for t in range(4, 30))}
+    keys = [(5, t) for t in range(41)] + [(7, t) for t in range(40)] + [(6, 0), (6, 1 << 20), (6, (1 << 20) + 1)]
+    keys += [(4, (1 << 20)), (None, 1), (None, 2)]  # the first has had the id of (5, 0)
+    rows = [(c, t, None if (c, t) in gaps else said(c, t)) for c, t in keys]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").write.parquet(f"file://{tmp_path}/conversations.parquet")
+    settings = {"spark.sql.shuffle.partitions": parts, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = {(r["conv_id"], r["turn"]): tuple(r)[2:] for r in op10_quotes(spark, f"file://{tmp_path}").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want, depth = {}, {}
+    for conv in {c for c, _ in keys}:
+        seen = None  # the last turn with a text
+        for position, turn in enumerate(sorted(t for c, t in keys if c == conv)):
+            depth[conv, turn] = 0 if seen is None else depth[conv, seen] + 1
+            want[conv, turn] = (conv, seen, depth[conv, turn], position, None if (conv, turn) in gaps else said(conv, turn))
+            seen = seen if (conv, turn) in gaps else turn
+    # Before any turn with a text there is nothing to quote, so (5, 0) stands alone.
+    want = {k: (v[0], v[1], v[2], v[3] - 1 if k[0] == 5 and k[1] else v[3], v[4]) for k, v in want.items()}
+    assert got == want
+
+
+def test_sources_of_tasks_without_texts():
+    tails = [(0, 3, 1, 1), (2, 3, 0, 2), (3, 3, 1, 1), (4, 3, 2, 0), (5, 8, 0, 2), (6, 8, 1, 1)]
+    assert mails.sources(tails) == [(2, 3, 1, 0, 1), (3, 3, 1, 0, 1), (4, 3, 1, 3, 1), (4, 3, 2, 0, 1), (5, 3, 1, 4, 1), (5, 3, 2, 4, 2)]

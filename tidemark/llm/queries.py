@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, language, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
+from tidemark.llm import jaccard, language, mails, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import read_table
 
@@ -75,34 +75,10 @@ def op9_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.similar(read_table(spark, sf, "documents"), size=4, percent=85)
 
 
-def quoting_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """The conversations as mails: each turn quotes the one before it, and its quote."""
-    turns = read_table(spark, sf, "conversations")
-    by_turn = Window.partitionBy("conv_id").orderBy("turn")
-
-    def quote(text, mark):
-        return F.regexp_replace(text, "(?m)^", mark)
-
-    last, older = (F.lag("text", n).over(by_turn) for n in (1, 2))
-    head = F.concat(F.lit("On turn "), F.lag("turn").over(by_turn), F.lit(" someone wrote:\n"))
-    quoted = F.concat_ws("\n", quote(older, ">> "), quote(last, "> "))
-    text = F.when(last.isNull(), F.col("text")).otherwise(F.concat(head, quoted, F.lit("\n\n"), F.coalesce("text", F.lit(""))))
-    return turns.select((F.shiftleft("conv_id", 20) + F.col("turn")).alias("msg"), F.col("conv_id").alias("thread"), text.alias("text"))
-
-
 def op10_quotes(spark: SparkSession, sf: str) -> DataFrame:
     """Each turn in the conversation that its quotes put it in, without them."""
-    found = quotes.conversations(quoting_messages(spark, sf))
-    conv, turn = F.shiftright("msg", 20), F.col("msg").bitwiseAND(F.lit((1 << 20) - 1))
-    return found.select(
-        conv.alias("conv_id"),
-        turn.alias("turn"),
-        F.shiftright("root", 20).alias("root_conv_id"),
-        F.col("parent").bitwiseAND(F.lit((1 << 20) - 1)).alias("parent_turn"),
-        "depth",
-        "position",
-        "text",
-    )
+    messages, names = mails.quoting(read_table(spark, sf, "conversations"))
+    return mails.labelled(quotes.conversations(messages), names)
 
 
 QUERIES = {
