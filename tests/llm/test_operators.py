@@ -121,6 +121,28 @@ def test_substrings(docs, none):
     assert substrings.deduplicate(none).count() == 0
 
 
+def test_rows_that_share_an_id_keep_their_own_words(spark, monkeypatch):
+    own = {k: [f"{k}{i}" for i in range(50)] for k in "abcdef"}
+    shared = [f"s{i}" for i in range(30)]
+    rows = [
+        (None, own["a"] + shared),
+        (None, own["b"][:10] + shared + own["b"][10:] + shared),  # comes first at place 10
+        (None, own["c"][:3]),
+        (7, own["d"][:5] + shared + own["d"][5:]),
+        (7, own["e"][:5] + shared + own["e"][5:30]),  # the same place as in the row before
+        (7, own["f"]),
+        (8, own["f"][:25]),
+    ]
+    gone = [(50, 80), (80, 110), (0, 0), (5, 35), (5, 35), (0, 0), (0, 25)]
+    want = []
+    for (i, w), (a, b) in zip(rows, gone, strict=True):
+        want.append((i, len(w), b - a, " ".join(w[:a] + w[b:])))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    for parts in (1, 7):
+        got = substrings.deduplicate(table.repartition(parts)).drop("kept_sha256").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def brute_components(rows, size, percent):
     sets = []
     for _, text in rows:

@@ -15,8 +15,9 @@ once, to the rows about them; both joins read that exchange.
 
 Defined results: a null text has no words.  A null doc_id comes before all others.  Rows
 with the same doc_id are ordered by start alone, so what one of them has at the same
-place as another is no earlier; each row keeps its own result.  An empty table gives no
-rows.  Hashes have 64 bits.
+place as another is no earlier; each row keeps its own result: rows are known by doc_id
+and a hash of the text, and rows that agree in both have the same result.  An empty table
+gives no rows.  Hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def _hashed(texts: pa.Array, hasher: W.Hasher, size: int, gram: int):
 
 def _anchors(size: int, gram: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, anchor, doc, weight): documents' anchors; from weight 2 on they repeat.
+        """(key, anchor, doc, mark, weight): documents' anchors; from weight 2 on they repeat.
 
         An anchor that repeats in the slice is settled for all its documents; one of
         them tells the others in the corpus, the rest need not meet them.
@@ -74,6 +75,7 @@ def _anchors(size: int, gram: int):
                         "key": pa.array(np.where(tells, anchor, keys).view(np.int64)),
                         "anchor": pa.array(anchor.view(np.int64)),
                         "doc": pa.array(doc[row]),
+                        "mark": part.column("mark").take(pa.array(row)),
                         "weight": pa.array(np.where(often, 2, 1).astype(np.int32)),
                     }
                 )
@@ -101,11 +103,22 @@ def _merged(row: np.ndarray, start: np.ndarray, size: np.ndarray):
     return row[first], start[first], reach[last] - begin[first]
 
 
+def _twins(group: np.ndarray, mark: np.ndarray, own: np.ndarray, twin: np.ndarray) -> list[np.ndarray | None]:
+    """For each group the marks of its twins other than that of its head, or None."""
+    out: list[np.ndarray | None] = [None] * (int(group[-1]) + 1)
+    others = np.unique(np.stack([group, mark])[:, twin & (mark != own)], axis=1)
+    of, first = np.unique(others[0], return_index=True)
+    for g, values in zip(of.tolist(), np.split(others[1], first[1:]), strict=False):
+        out[g] = values
+    return out
+
+
 def _windows(size: int, gram: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, doc, start, size, settled): windows to compare, and intervals that go.
+        """(key, doc, mark, twins, start, size, settled): windows to compare, and intervals that go.
 
-        Of equal windows in a slice the first is compared with those of other slices.
+        Of equal windows in a slice the first is compared with those of other slices, for
+        its twins as well: the same place of other texts with the same doc_id.
         """
         hasher = W.Hasher()
         for batch in batches:
@@ -124,23 +137,25 @@ def _windows(size: int, gram: int):
                 new = np.concatenate(([True], key[1:] != key[:-1]))
                 head = np.flatnonzero(new)[np.cumsum(new) - 1]
                 later = (doc != doc[head]) | (start != start[head])
-                twin = ~new & ~later  # the same place of a row with the same doc_id
                 by_row = np.lexsort((start[later], row[later]))
                 rows, at, long = _merged(
                     row[later][by_row], start[later][by_row], np.full(later.sum(), size)
                 )
-                first = new & ~twin
                 doc_of = part.column("doc").to_numpy(zero_copy_only=False)
+                mark_of = part.column("mark").to_numpy(zero_copy_only=False)
+                twins = _twins(np.cumsum(new) - 1, mark_of[row], mark_of[row][head], ~new & ~later)
                 mine = W.mix(rows.astype(np.uint64) ^ doc_of[rows].view(np.uint64))
                 yield pa.record_batch(
                     {
-                        "key": pa.array(np.concatenate([key[first], mine]).view(np.int64)),
-                        "doc": pa.array(np.concatenate([doc[first], doc_of[rows]])),
-                        "start": pa.array(np.concatenate([start[first], at]).astype(np.int32)),
+                        "key": pa.array(np.concatenate([key[new], mine]).view(np.int64)),
+                        "doc": pa.array(np.concatenate([doc[new], doc_of[rows]])),
+                        "mark": pa.array(np.concatenate([mark_of[row[new]], mark_of[rows]])),
+                        "twins": pa.array([*twins, *[None] * len(rows)], pa.list_(pa.int64())),
+                        "start": pa.array(np.concatenate([start[new], at]).astype(np.int32)),
                         "size": pa.array(
-                            np.concatenate([np.full(first.sum(), size), long]).astype(np.int32)
+                            np.concatenate([np.full(new.sum(), size), long]).astype(np.int32)
                         ),
-                        "settled": pa.array(np.repeat([False, True], [first.sum(), len(rows)])),
+                        "settled": pa.array(np.repeat([False, True], [new.sum(), len(rows)])),
                     }
                 )
 
@@ -185,28 +200,30 @@ def _kept(with_text: bool):
 
 
 def removals(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """(doc, spans): for each document the (start, size) of its words that go.
+    """(doc, mark, spans): for each document the (start, size) of its words that go.
 
-    `docs` has doc and text; spans may overlap.
+    `docs` has doc, mark and text, and equal texts where doc and mark are; spans may overlap.
     """
-    found = docs.mapInArrow(_anchors(size, gram), "key bigint, anchor bigint, doc bigint, weight int")
+    found = docs.mapInArrow(_anchors(size, gram), "key bigint, anchor bigint, doc bigint, mark bigint, weight int")
     shared = found.withColumn("weight", F.sum("weight").over(Window.partitionBy("key")))
-    repeated = shared.filter("weight > 1").groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
-    suspects = docs.join(repeated, "doc").select("doc", "text", "anchors")
+    repeated = shared.filter("weight > 1").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"))
+    suspects = docs.join(repeated, ["doc", "mark"]).select("doc", "mark", "text", "anchors")
     windows = suspects.mapInArrow(
-        _windows(size, gram), "key bigint, doc bigint, start int, size int, settled boolean"
+        _windows(size, gram), "key bigint, doc bigint, mark bigint, twins array<bigint>, start int, size int, settled boolean"
     )
     first = F.rank().over(Window.partitionBy("key").orderBy("doc", "start")) == 1
-    later = windows.select("doc", "start", "size", (F.col("settled") | ~first).alias("goes")).filter("goes")
-    return later.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    later = windows.select("doc", "mark", "twins", "start", "size", (F.col("settled") | ~first).alias("goes")).filter("goes")
+    marks = F.concat(F.array("mark"), F.coalesce("twins", F.expr("cast(array() AS array<bigint>)")))
+    later = later.select("doc", F.explode(marks).alias("mark"), "start", "size")
+    return later.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 
 
 def deduplicate(docs: DataFrame, size: int = SIZE, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) for every row of `docs`."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_ID))
-    # The same two columns in both joins, so that they read one exchange.
-    given = docs.select(key.alias("doc"), "text")
-    out = given.join(removals(given, size), "doc", "left").select("doc", "text", "spans")
+    # The same columns in both joins, so that they read one exchange.
+    given = docs.select(key.alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    out = given.join(removals(given, size), ["doc", "mark"], "left").select("doc", "text", "spans")
     columns = "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     made = out.mapInArrow(_kept(with_text), columns + ", kept string" * with_text)
     return made.select(F.nullif("doc", F.lit(FIRST_ID)).alias("doc_id"), *made.columns[1:])
