@@ -181,6 +181,30 @@ def test_jaccard(spark, docs, none, monkeypatch, size, percent, last, rows_per_t
     assert jaccard.representatives(none, size, percent).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_alone(spark):
+    own = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"}
+    rows = [
+        (None, own["a"], "stays"),
+        (None, own["b"], "stays"),
+        (None, own["b"] + " b", "near"),
+        (1, own["c"], "stays"),
+        (1, own["a"], "copy"),
+        (2, own["d"], "stays"),
+        (3, own["d"], "copy"),
+        (3, own["e"], "stays"),
+        (4, None, "stays"),
+        (4, None, "stays"),
+        (5, own["f"], "stays"),
+        (5, own["f"], "stays"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, note string")
+    kept = sorted(map(tuple, jaccard.representatives(table).collect()), key=repr)
+    assert kept == sorted([r for r in rows[:-1] if r[2] == "stays"], key=repr)
+    items = spark.createDataFrame([(1, own["a"]), (2, own["e"])], "item_id bigint, text string")
+    left = sorted(map(tuple, tiling.clean(table, items).collect()), key=repr)
+    assert left == sorted([r for r in rows if r[1] not in (own["a"], own["e"])], key=repr)
+
+
 def test_bitmaps_bound_the_overlap():
     rng = np.random.default_rng(0)
     for n in (1, 3, 40, 700):

@@ -91,7 +91,7 @@ def overlap_bound(a: bytes, b: bytes, n: int, m: int) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
-def _sets(size: int):
+def _sets(size: int, keys: list[str]):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.Hasher()
         for batch in batches:
@@ -118,7 +118,7 @@ def _sets(size: int):
                     bitmaps.append(signature(values))
                 yield pa.record_batch(
                     {
-                        "doc": part.column("doc"),
+                        **{k: part.column(k) for k in keys},
                         "n": pa.array(n, pa.int64()),
                         "print": pa.array(prints, pa.int64()),
                         "signature": pa.array(bitmaps, pa.binary()),
@@ -459,13 +459,19 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     return roots
 
 
+def _linked(given: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets with the keys of `given`, its columns but text, and (print, node, root) of those with links."""
+    keys = [c for c in given.columns if c != "text"]
+    shape = ", ".join(f"{k} bigint" for k in keys) + ", n bigint, print bigint, signature binary, shingles binary"
+    sets = written(given.mapInArrow(_sets(size, keys), shape), "jaccard-sets")
+    return sets, link_components(sets, percent)
+
+
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text)."""
     null = F.lit(NULL_ID)
     given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), null).alias("doc"), "text")
-    shape = "doc bigint, n bigint, print bigint, signature binary, shingles binary"
-    sets = written(given.mapInArrow(_sets(size), shape), "jaccard-sets")
-    roots = link_components(sets, percent)
+    sets, roots = _linked(given, size, percent)
     # The least document of each set, then of each component.
     least = sets.filter("n > 0").groupBy("print").agg(F.min("doc").alias("least"))
     rooted = least.join(roots, F.col("print") == F.col("node"), "left")
@@ -481,20 +487,41 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 
 def representatives(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, one document of each component: that with the least doc_id.
+    """The rows of `docs`, one of each component: that with the least doc_id, then the least text.
 
-    Of rows that share a doc_id one stays.
+    Rows without shingles all stay.  Each row is judged by its own text, also where rows
+    share a doc_id: they are told apart by a hash of the text.  Of rows that agree in
+    doc_id and text one stays.
     """
-    found = written(similar(docs.select("doc_id", "text"), size, percent), "jaccard-found")
-    many = found.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select(F.col("doc_id").alias("gone"))
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("gone"))
-    out = rows.join(gone.unionByName(many).distinct(), same, "left_anti")
+    doc, mark = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)), F.xxhash64("text")
+    sets, roots = _linked(docs.select(doc.alias("doc"), mark.alias("mark"), "text"), size, percent)
+    of = sets.filter("n > 0").select("doc", "mark", "print").join(roots, F.col("print") == F.col("node"), "left")
+    of = written(of.select("doc", "mark", F.coalesce("root", "print").alias("comp")), "jaccard-found")
+    tops = of.groupBy("comp").agg(
+        F.min(F.struct("doc", "mark")).alias("top"), F.max(F.struct(F.bitwise_not("doc").alias("not"), "mark")).alias("end")
+    )
+    tops = written(tops.select("comp", "top.*", F.col("end.mark").alias("end")), "jaccard-tops")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), doc.alias("of"), mark.alias("by"))
+
+    def same(other: DataFrame):
+        return (F.col("of") == other["doc"]) & (F.col("by") == other["mark"])
+
+    stay, equal = tops.filter("mark = end").select("doc", "mark"), tops.filter("mark <> end")
+    if not equal.isEmpty():
+        # Unlike texts of the least doc_id of a component: the least of them stays.
+        each = of.join(equal.select("comp", "doc"), ["comp", "doc"]).distinct()
+        texts = rows.join(each, same(each)).select("comp", "doc", "mark", F.col("row.text").alias("text"))
+        least = texts.groupBy("comp").agg(F.min_by(F.struct("doc", "mark"), "text").alias("least"))
+        stay = stay.unionByName(least.select("least.*"))
+    stay = written(stay, "jaccard-stay")
+    gone = of.select("doc", "mark").join(stay, ["doc", "mark"], "left_anti")
+    many = of.groupBy("doc", "mark").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc", "mark")
+    gone = gone.unionByName(many).distinct()
+    out = rows.join(gone, same(gone), "left_anti").select("row")
+    many = written(many, "jaccard-many")
     if not many.isEmpty():
-        # A doc_id whose rows all represent their components keeps its first row.
-        kept = many.join(gone, "gone", "left_anti") if not gone.isEmpty() else many
-        again = rows.join(kept, same, "left_semi")
-        first = again.groupBy(F.col("row.doc_id").alias("id")).agg(F.min_by("row", F.col("row.text")).alias("row"))
+        kept = many.join(stay, ["doc", "mark"], "left_semi")
+        again = rows.join(kept, same(kept), "left_semi")
+        first = again.groupBy("of", "by").agg(F.min_by("row", F.col("row.text")).alias("row"))
         out = out.unionByName(first.select("row"))
     return out.select("row.*")

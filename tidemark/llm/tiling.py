@@ -236,9 +236,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = COVERAGE, least:
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = COVERAGE, least: int = LEAST) -> DataFrame:
-    """The rows of `docs` in which no item leaked."""
-    found = leaks(docs.select("doc_id", "text"), items, threshold, least)
+    """The rows of `docs` in which no item leaked.
+
+    Each row is judged by its own text, also where rows share a doc_id: rows are known by a
+    hash of doc_id and text.
+    """
+    given = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    found = leaks(given, items, threshold, least)
     found = found.select(F.col("doc_id").alias("leaked")).distinct()
     # The leaks alone are joined with the texts, so those move only if the leaks are many.
-    row = docs.select(F.struct(*docs.columns).alias("row"))
-    return row.join(found, F.col("row.doc_id").eqNullSafe(F.col("leaked")), "left_anti").select("row.*")
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("of"))
+    return row.join(found, F.col("of") == F.col("leaked"), "left_anti").select("row.*")
