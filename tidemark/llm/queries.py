@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, language, mails, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
+from tidemark.llm import jaccard, language, lines, mails, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import read_table
 
@@ -81,6 +81,11 @@ def op10_quotes(spark: SparkSession, sf: str) -> DataFrame:
     return mails.labelled(quotes.conversations(messages), names)
 
 
+def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
+    out = lines.deduplicate(read_table(spark, sf, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_jaccard": op9_jaccard,
     "op10_quotes": op10_quotes,
+    "op13_lines": op13_lines,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -133,4 +139,21 @@ ORACLE_SQL: dict[str, str] = {
                trim(text, E' \t\n\r') AS text
         FROM conversations
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+    "op13_lines": r"""
+        WITH lines AS (
+          SELECT row, doc_id, unnest(given) AS line, generate_subscripts(given, 1) AS pos
+          FROM (SELECT row_number() OVER () AS row, doc_id,
+                       string_split(coalesce(text, ''), E'\n') AS given FROM documents)),
+        keyed AS (
+          SELECT *, translate(trim(line, E' \t\n\x0B\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM lines),
+        judged AS (
+          SELECT *, length(key) >= 10
+                    AND coalesce(doc_id <> min(doc_id) OVER (PARTITION BY key), false) AS goes
+          FROM keyed)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+               sha256(coalesce(string_agg(line, E'\n' ORDER BY pos) FILTER (NOT goes), ''))
+                 AS kept_sha256
+        FROM judged GROUP BY row, doc_id""",
 }
