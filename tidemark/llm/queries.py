@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, language, lines, mails, mixing, quality, quotes, substrings, tiling, tokenids, topk, warc
+from tidemark.llm import jaccard, language, lines, mails, mixing, phrases, quality, quotes, substrings, tiling, tokenids, topk, warc
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import read_table
 
@@ -81,6 +81,10 @@ def op10_quotes(spark: SparkSession, sf: str) -> DataFrame:
     return mails.labelled(quotes.conversations(messages), names)
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf, "documents"))
+
+
 def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
     out = lines.deduplicate(read_table(spark, sf, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -97,6 +101,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_jaccard": op9_jaccard,
     "op10_quotes": op10_quotes,
+    "op11_phrases": op11_phrases,
     "op13_lines": op13_lines,
 }
 
@@ -139,6 +144,45 @@ ORACLE_SQL: dict[str, str] = {
                trim(text, E' \t\n\r') AS text
         FROM conversations
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+    "op11_phrases": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+          FROM documents),
+        grams AS (
+          SELECT lang, k, list_transform(range(1, len(words) - k + 2),
+                                         lambda i: array_to_string(words[i:i + k - 1], ' ')) AS all_of_k
+          FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k),
+        counts AS (
+          SELECT lang, k, phrase, count(*) AS f
+          FROM (SELECT lang, k, unnest(all_of_k) AS phrase FROM grams) GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+        candidates AS (
+          SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a
+          FROM counts WHERE k >= 2 AND f >= 100),
+        cuts AS (
+          SELECT c.*, cut, x.f AS l, y.f AS r, n,
+                 CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+          FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+          JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:cut], ' ')
+          JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+          JOIN totals t ON t.lang = c.lang),
+        worst AS (
+          SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inner_parts AS (
+          SELECT DISTINCT c.lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, a
+          FROM candidates c, (SELECT unnest(range(2, 5)) AS size), (SELECT unnest(range(1, 5)) AS i)
+          WHERE size < k AND i + size - 1 <= k),
+        kept AS (
+          SELECT * FROM worst w WHERE NOT EXISTS (
+            SELECT 1 FROM inner_parts p
+            WHERE p.lang = w.lang AND p.phrase = w.phrase AND 100 * p.a >= 100 * w.a))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept
+        QUALIFY rank <= 2000""",
     "op13_lines": r"""
         WITH lines AS (
           SELECT row, doc_id, unnest(given) AS line, generate_subscripts(given, 1) AS pos
