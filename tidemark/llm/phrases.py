@@ -10,11 +10,13 @@ them up to shorter and shorter prefixes, which are the counts of all phrases, an
 last level n, the count of all words.
 
 Most windows occur once, and a phrase as rare as that is not asked for.  So a first pass
-counts pairs of neighbouring words in hashed cells.  A cell holds at least as many pairs
-as any pair in it, so where it holds fewer than `least`, no phrase across that pair is
-frequent, and windows are padded from there on.  No frequent phrase loses an occurrence.
-There are cells in proportion to the text, up to `MOST_CELLS`; beyond, windows are padded
-less often, which costs time and changes no result.
+counts words and pairs of neighbours in hashed cells, and a second one the runs of three
+to five words whose pairs all may be frequent.  A cell counts at least as much as any run
+in it, so where it counts fewer than `least`, no phrase that holds the run is frequent,
+and windows are padded from there on; those that are all padding still count in n.  No
+frequent phrase loses an occurrence.  There are
+cells in proportion to the text, up to `MOST_CELLS`; beyond, windows are padded less
+often, which costs time and changes no result.
 
 Defined results: null texts count as empty, a null language as `und`; the language `und`
 itself is the same one.  Repeated rows count each.  Where nothing is frequent, or the
@@ -25,6 +27,7 @@ told apart by their bytes; n, f and scores are exact (scores by 38-digit decimal
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -62,58 +65,110 @@ def _joined(words: W.Words) -> np.ndarray:
     return (row[1:] == row[:-1]) & (breaks[words.start[1:]] == breaks[words.end[:-1]])
 
 
-def _pairs(words: W.Words, hashes: np.ndarray, language: np.ndarray, names: pa.Array, cells: int) -> np.ndarray:
-    """The cell of each word with its next one, in its language."""
-    tags = np.array([int.from_bytes(n.encode()[-8:], "little") for n in names.to_pylist()] or [0], np.uint64)
-    pairs = W.windows(hashes, 2) ^ W.mix(W.mix(tags) + np.uint64(1))[language[words.row_of_word()[:-1]]]
-    return (W.mix(pairs) & np.uint64(cells - 1)).astype(np.int64)
-
-
-def _count_pairs(cells: int, least: int):
-    kind = np.uint8 if least < 256 else np.uint32
+def _cells(hashes: np.ndarray, tags: np.ndarray, size: int, cells: int) -> np.ndarray:
+    """The cell of each run of `size` words, by the tag of its first word's language."""
+    runs = W.windows(hashes, size)
+    return (W.mix(runs ^ tags[: len(runs)]) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _kind(least: int) -> type:
+    return np.uint8 if least < 256 else np.uint32
+
+
+@dataclass
+class Slice:
+    """Words of some texts with what is known of the runs that start at each of them."""
+
+    words: W.Words
+    hashes: np.ndarray
+    language: np.ndarray  # of each word, a number of `names`
+    names: pa.Array
+    tags: np.ndarray  # of each word's language
+    goes_on: np.ndarray  # whether the next word stands in the same piece
+
+    @classmethod
+    def of(cls, part: pa.RecordBatch, hasher: W.Hasher) -> Slice | None:
+        words = W.split(part.column("text"), _GAP)
+        if not len(words.start):
+            return None
+        language, names = _languages(part)
+        language = language[words.row_of_word()]
+        marks = [int.from_bytes(n.encode()[-8:], "little") for n in names.to_pylist()]
+        tags = W.mix(W.mix(np.array(marks, np.uint64)) + np.uint64(1))[language]
+        goes_on = np.append(_joined(words), False)
+        return cls(words, hasher.words(words, lower=True), language, names, tags, goes_on)
+
+    def lengths(self, *filters: np.ndarray) -> np.ndarray:
+        """How many words from each on may be frequent together, as far as the filters tell.
+
+        The first filter knows words and pairs of them, the second longer runs.
+        """
+        n = len(self.goes_on)
+        length, able = np.zeros(n, np.int64), None
+        for size in range(1, LONGEST + 1):
+            # Both runs of one word less have to be frequent, and this one.
+            both = np.ones(n, bool)
+            if size > 1:
+                both = able & np.append(able[1:], False)
+            if size == 2:
+                both &= self.goes_on
+            bits = filters[0] if size <= 2 else filters[1] if len(filters) > 1 else None
+            at = np.flatnonzero(both)
+            if bits is not None and len(at):
+                cell = _cells(self.hashes, self.tags, size, len(bits) * 8)[at]
+                both[at] = (bits[cell >> 3] >> (cell & 7)) & 1
+            able = both
+            length += able
+        return length
+
+
+def _count_runs(cells: int, least: int, pairs: np.ndarray | None):
+    """Counts of runs per cell: of words and pairs, or of all longer runs that pass a filter of those."""
+    kind, chunk = _kind(least), min(cells, CHUNK_CELLS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, hasher = np.zeros(cells, np.uint32), W.Hasher()
         for batch in batches:
             for part in W.slices(batch):
-                words = W.split(part.column("text"), _GAP)
-                if len(words.start) < 2:
+                some = Slice.of(part, hasher)
+                if some is None:
                     continue
-                language, names = _languages(part)
-                pairs = _pairs(words, hasher.words(words, lower=True), language, names, cells)
-                cell, n = np.unique(pairs[_joined(words)], return_counts=True)
-                total[cell] = np.minimum(total[cell] + n, least)
-        chunk = min(cells, CHUNK_CELLS)
+                length = some.goes_on + 1 if pairs is None else some.lengths(pairs)
+                for size in (1, 2) if pairs is None else range(3, LONGEST + 1):
+                    at = np.flatnonzero(length >= size)
+                    if len(at):
+                        cell, n = np.unique(_cells(some.hashes, some.tags, size, cells)[at], return_counts=True)
+                        total[cell] = np.minimum(total[cell] + n, least)
         rows = total.astype(kind).reshape(-1, chunk)
-        some = np.flatnonzero(rows.any(axis=1))
-        for i in some:
-            yield pa.record_batch({"chunk": pa.array([i], pa.int32()), "cells": pa.array([rows[i].tobytes()], pa.binary())})
+        for i in np.flatnonzero(rows.any(axis=1)):
+            packed = pa.compress(rows[i].tobytes(), "zstd", asbytes=True)
+            yield pa.record_batch({"chunk": pa.array([i], pa.int32()), "cells": pa.array([packed], pa.binary())})
 
     return count
 
 
-def _frequent_cells(least: int):
-    kind = np.uint8 if least < 256 else np.uint32
+def _frequent_cells(least: int, chunk: int):
+    kind = _kind(least)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, cells in zip(batch.column("chunk").to_pylist(), batch.column("cells"), strict=True):
-                part = np.frombuffer(cells.as_py(), kind).astype(np.uint32)
-                total[chunk] = np.minimum(total.get(chunk, 0) + part, least)
+            for at, cells in zip(batch.column("chunk").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+                counts = pa.decompress(cells, chunk * np.dtype(kind).itemsize, "zstd", asbytes=True)
+                part = np.frombuffer(counts, kind).astype(np.uint32)
+                total[at] = np.minimum(total.get(at, 0) + part, least)
         bits = [np.packbits(t >= least, bitorder="little").tobytes() for t in total.values()]
         yield pa.record_batch({"chunk": pa.array(total, pa.int32()), "cells": pa.array(bits, pa.binary())})
 
     return frequent
 
 
-def frequent_pairs(texts: DataFrame, cells: int, least: int) -> np.ndarray:
-    """A bit for each cell, set where it holds `least` pairs of words or more."""
-    shape = "chunk int, cells binary"
-    counts = texts.mapInArrow(_count_pairs(cells, least), shape)
-    chunk = min(cells, CHUNK_CELLS)
+def frequent_runs(texts: DataFrame, cells: int, least: int, pairs: np.ndarray | None = None) -> np.ndarray:
+    """A bit for each cell, set where it holds `least` runs of words or more."""
+    shape, chunk = "chunk int, cells binary", min(cells, CHUNK_CELLS)
+    counts = texts.mapInArrow(_count_runs(cells, least, pairs), shape)
     # The bits of all cells, so MOST_CELLS / 8 bytes at most.
-    rows = counts.repartition(cells // chunk, "chunk").mapInArrow(_frequent_cells(least), shape).collect()
+    rows = counts.repartition(cells // chunk, "chunk").mapInArrow(_frequent_cells(least, chunk), shape).collect()
     bits = np.zeros((cells // chunk, chunk // 8), np.uint8)
     for row in rows:
         bits[row["chunk"]] = np.frombuffer(row["cells"], np.uint8)
@@ -125,36 +180,27 @@ def _distinct_windows(code: np.ndarray, first: np.ndarray, length: np.ndarray, m
 
     `first` numbers the languages of the words, `code` the words themselves.
     """
-    for size in range(1, LONGEST + 1):
+    for size in range(LONGEST + 1):
         at = np.flatnonzero(length == size)
         if not len(at):
             continue
-        key = first[at] * many + code[at]
-        for k in range(1, size):
+        key = first[at]
+        for k in range(size):
             key = np.unique(key, return_inverse=True)[1] * many + code[at + k]
         _, place, count = np.unique(key, return_index=True, return_counts=True)
         yield size, at[place], count
 
 
-def _windows(bits: np.ndarray):
-    cells = len(bits) * 8
-
+def _windows(*filters: np.ndarray):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.Hasher()
         for batch in batches:
             for part in W.slices(batch):
-                words = W.split(part.column("text"), _GAP)
-                n = len(words.start)
-                if not n:
+                some = Slice.of(part, hasher)
+                if some is None:
                     continue
-                language, names = _languages(part)
-                goes_on = np.zeros(n + LONGEST, bool)
-                if n > 1:
-                    cell = _pairs(words, hasher.words(words, lower=True), language, names, cells)
-                    goes_on[: n - 1] = _joined(words) & ((bits[cell >> 3] >> (cell & 7)) & 1).astype(bool)
-                length = np.ones(n, np.int64)
-                for k in reversed(range(LONGEST - 1)):
-                    length = 1 + goes_on[k : k + n] * length if k < LONGEST - 2 else 1 + goes_on[k : k + n]
+                words, names, length = some.words, some.names, some.lengths(*filters)
+                n = len(length)
                 inside = ~_GAP[words.data]
                 sizes = words.end - words.start
                 if sizes.sum() != inside.sum():  # bytes below a null
@@ -168,9 +214,8 @@ def _windows(bits: np.ndarray):
                 coded = spelt.dictionary_encode()
                 code = coded.indices.to_numpy().astype(np.int64)
                 spelling = coded.dictionary.cast(pa.large_string())
-                row = words.row_of_word()
-                for size, at, count in _distinct_windows(code, language[row], length, len(spelling)):
-                    out = {"lang": names.take(pa.array(language[row[at]]))}
+                for size, at, count in _distinct_windows(code, some.language, length, len(spelling)):
+                    out = {"lang": names.take(pa.array(some.language[at]))}
                     for k, name in enumerate(COLUMNS):
                         out[name] = spelling.take(pa.array(code[at + k])).cast(pa.string()) if k < size else pa.nulls(len(at), pa.string())
                     yield pa.record_batch(out | {"n": pa.array(count, pa.int64())})
@@ -183,9 +228,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     cells = min(max(LEAST_CELLS, 1 << (size // CELL_BYTES).bit_length()), MOST_CELLS)
-    bits = frequent_pairs(texts, cells, least)
+    pairs = frequent_runs(texts, cells, least)
+    runs = frequent_runs(texts, cells, least, pairs)
     shape = ", ".join(f"{c} string" for c in ["lang", *COLUMNS]) + ", n bigint"
-    windows = texts.mapInArrow(_windows(bits), shape).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
+    windows = texts.mapInArrow(_windows(pairs, runs), shape).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
     sums = windows.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # Bits of the level stand for the columns summed over, the last one lowest.
     k = LONGEST - F.length(F.regexp_replace(F.bin("level"), "0", "")).cast("int")
