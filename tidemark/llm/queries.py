@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, language, lines, mails, mixing, phrases, quality, quotes, substrings, tiling, tokenids, topk, warc
+from tidemark.llm import jaccard, language, lines, mails, mixing, negatives, phrases, quality, quotes, substrings, tiling, tokenids, topk, warc
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import read_table
 
@@ -85,6 +85,13 @@ def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh row teaches with the next label; every hundredth is an anchor."""
+    other = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    vectors = read_table(spark, sf, "embeddings").withColumn("label", other)
+    return negatives.mine(vectors, F.pmod("vec_id", F.lit(100)) == 0)
+
+
 def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
     out = lines.deduplicate(read_table(spark, sf, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -102,6 +109,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_quotes": op10_quotes,
     "op11_phrases": op11_phrases,
+    "op12_negatives": op12_negatives,
     "op13_lines": op13_lines,
 }
 
@@ -183,6 +191,27 @@ ORACLE_SQL: dict[str, str] = {
                phrase, a, l, r, n, score
         FROM kept
         QUALIFY rank <= 2000""",
+    "op12_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+                 CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id <> c.vec_id AND a.vec_id % 100 = 0),
+        positives AS (
+          SELECT * FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+               p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+        WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+        QUALIFY rank <= 5""",
     "op13_lines": r"""
         WITH lines AS (
           SELECT row, doc_id, unnest(given) AS line, generate_subscripts(given, 1) AS pos
