@@ -9,8 +9,9 @@ tree.  A further component, sqrt(M * M - |x| * |x|) with M the longest row of th
 gives all rows the same norm, so that near in that space means a high product for every
 anchor, whose own further component is 0.  On each level a node's rows go to the first
 centre that lies within the level's radius, which halves from level to level; a node keeps
-its covering radius, the distance of its farthest row.  With q the anchor and c the centre,
-all products below the node lie within q * c +- |q| * radius.
+its covering radius, the distance of its farthest row.  Rows too scattered to form groups
+stay together in one leaf.  With q the anchor and c the centre, all products below the
+node lie within q * c +- |q| * radius.
 
 Anchors come in blocks and descend best first, by that upper bound.  Nodes that lie wholly
 outside every window still open, or below what is found already, are skipped with all their
@@ -46,7 +47,10 @@ SCALE, POSITIVES, NEGATIVES = 256, 5, 5
 #: Least share of the positive's score, in percent; the most is 100.
 LEAST_PERCENT = 80
 #: Rows of a tree, anchors of a block, and rows that a node of a tree keeps unsplit.
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 512, 48
+SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 512, 64
+#: By how much radii shrink from level to level, and how many centres in a row that cover
+#: no row but themselves end the search for groups in a node.
+SHRINK, SCATTERED = 2, 16
 #: Bounds are taken in doubles: so much of their size is added for rounding.
 SLACK = 1e-9
 
@@ -70,6 +74,9 @@ class CoverTree:
     child: np.ndarray
     child_end: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.centres = self.rows[self.centre].astype(np.float64)
+
 
 def _augmented(rows: np.ndarray) -> np.ndarray:
     """The rows with one more component, so that all have the same norm."""
@@ -84,26 +91,33 @@ def build(ids: np.ndarray, rows: np.ndarray) -> CoverTree:
     # Per node: begin and end in tree order, centre, level radius, covering radius.
     begin, end, centre, radius = [0], [len(ids)], [0], [0.0]
     child, child_end = [0], [0]
-    far = np.sqrt(((space - space[0]) ** 2).sum(axis=1))
+    norm = float((space[0] ** 2).sum())
+    far = np.sqrt(np.maximum(2 * (norm - space @ space[0]), 0.0))
     radius[0], level = float(far.max()), [(0, float(far.max()))]
     place = order[0]
     while level:
         deeper = []
         for node, span in level:
             inside = place[begin[node] : end[node]]
-            if len(inside) <= LEAF_ROWS or radius[node] == 0.0:
+            if len(inside) <= LEAF_ROWS or radius[node] <= SLACK * norm:
                 continue
-            reach = span / 2
+            reach = span / SHRINK
             child[node], at, rest, parts = len(begin), begin[node], inside, []
-            nearest = centre[node]
+            nearest, alone = centre[node], 0
             while len(rest):
-                distance = np.sqrt(((space[rest] - space[nearest]) ** 2).sum(axis=1))
+                # |x - c| by one product: all rows have the same norm.
+                distance = np.sqrt(np.maximum(2 * (norm - space[rest] @ space[nearest]), 0.0))
                 near = distance <= reach
+                near[rest == nearest] = True
+                alone = alone + 1 if np.count_nonzero(near) == 1 else 0
+                if alone == SCATTERED:  # no groups left to be found: one leaf holds the rest
+                    near[:] = True
                 taken = rest[near]
                 parts.append(taken)
                 begin.append(at), end.append(at + len(taken)), centre.append(int(nearest))
                 radius.append(float(distance[near].max())), child.append(0), child_end.append(0)
-                deeper.append((len(begin) - 1, reach))
+                if alone < SCATTERED:
+                    deeper.append((len(begin) - 1, reach))
                 at, rest = at + len(taken), rest[~near]
                 if len(rest):
                     nearest = rest[0]
@@ -163,6 +177,10 @@ class Wanted:
             return False
         return len(self.found) < self.k or most >= self.found[0][0]
 
+    def open_all(self, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+        low = max(self.low, self.found[0][0]) if len(self.found) == self.k else self.low
+        return (most >= low) & (least <= self.high)
+
     def offer(self, products: np.ndarray, ids: np.ndarray) -> None:
         fits = (products >= self.low) & (products <= self.high)
         if len(self.found) == self.k:
@@ -184,34 +202,34 @@ def descend(tree: CoverTree, anchor: int, query: np.ndarray, exact: type, wanted
     `exact` is the type in which products are exact, float or object.
     """
     near = query.astype(np.float64)
-    length = float(np.sqrt((near * near).sum()))
-    rows, query = tree.rows, query.astype(exact)
-    bounds = rows.astype(np.float64) if exact is object else rows
-    wide = length * (1 + SLACK)
-
-    def limits(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        middle = bounds[tree.centre[nodes]] @ near
-        spread = wide * tree.radius[nodes] + SLACK * np.abs(middle) + SLACK
+    wide = float(np.sqrt((near * near).sum())) * (1 + SLACK)
+    query = query.astype(exact)
+
+    def limits(begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        middle = tree.centres[begin:end] @ near
+        spread = wide * tree.radius[begin:end] + SLACK * np.abs(middle) + SLACK
         return middle - spread, middle + spread
 
     looked, heap = 1, []
-    least, most = limits(np.array([0]))
+    least, most = limits(0, 1)
     heapq.heappush(heap, (-float(most[0]), 0, float(least[0])))
     while heap:
         top, node, bottom = heapq.heappop(heap)
         if not any(w.open(bottom, -top) for w in wanted):
             continue
-        children = np.arange(tree.child[node], tree.child_end[node])
-        if len(children):
-            least, most = limits(children)
-            looked += len(children)
-            for c, lo, hi in zip(children.tolist(), least.tolist(), most.tolist(), strict=True):
-                if any(w.open(lo, hi) for w in wanted):
-                    heapq.heappush(heap, (-hi, c, lo))
+        begin, end = int(tree.child[node]), int(tree.child_end[node])
+        if end > begin:
+            least, most = limits(begin, end)
+            looked += end - begin
+            able = np.zeros(end - begin, bool)
+            for w in wanted:
+                able |= w.open_all(least, most)
+            for i in np.flatnonzero(able).tolist():
+                heapq.heappush(heap, (-float(most[i]), begin + i, float(least[i])))
             continue
         inside = slice(tree.first[node], tree.last[node])
         others = tree.ids[inside] != anchor
-        products = (rows[inside].astype(exact) @ query)[others]
+        products = (tree.rows[inside].astype(exact, copy=False) @ query)[others]
         looked += len(products)
         for w in wanted:
             w.offer(products, tree.ids[inside][others])
