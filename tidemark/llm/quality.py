@@ -30,31 +30,62 @@ PENALTY, STEPS = 2e-3, 400
 BINS = 32
 
 
-def statistics(text: str = "text") -> dict[str, Column]:
-    """Statistics of whole texts; shares are per word, per line or per character."""
+def _counted(text: str) -> Column:
+    """What is counted in a whole text, each thing once, as one struct."""
     t = F.coalesce(F.col(text), F.lit(""))
 
     def count(pattern: str) -> Column:
         return F.regexp_count(t, F.lit(pattern)).cast("double")
 
-    words = F.split(t, r"[\x20\x09-\x0D]+")
-    lines = F.split(t, "\n")
-    n = F.greatest(count(WORD), F.lit(1.0))
-    chars = F.length(t).cast("double")
-    return {
+    def parts(pattern: str) -> Column:
+        # One element, so that the text is split once for both sizes.
+        sizes = F.transform(
+            F.array(F.split(t, pattern)),
+            lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("distinct")),
+        )
+        return F.element_at(sizes, 1)
+
+    counts = {
         "words": count(WORD),
-        "word_length": chars / n,
-        "line_words": n / F.size(lines),
-        "capital_runs": count(r"\p{Lu}{2,}") / n,
-        "symbol_runs": count(r"[^\p{L}\p{N}\s]{2,}") / n,
-        "lone_symbols": count(r"(?<=\s)[^\p{L}\p{N}\s](?=\s)") / n,
-        "stops": count(r"[.!?]") / n,
-        "commas": count(",") / n,
-        "digits": count(r"\d") / n,
-        "long_words": count(r"[^\x20\x09-\x0D]{16,}") / n,
-        "distinct_words": F.size(F.array_distinct(words)) / F.size(words),
-        "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
+        "chars": F.length(t).cast("double"),
+        "capital_runs": count(r"\p{Lu}{2,}"),
+        "symbol_runs": count(r"[^\p{L}\p{N}\s]{2,}"),
+        "lone_symbols": count(r"(?<=\s)[^\p{L}\p{N}\s](?=\s)"),
+        "stops": count(r"[.!?]"),
+        "commas": count(","),
+        "digits": count(r"\d"),
+        "long_words": count(r"[^\x20\x09-\x0D]{16,}"),
+        "word_parts": parts(r"[\x20\x09-\x0D]+"),
+        "lines": parts("\n"),
     }
+    return F.struct(*[c.alias(name) for name, c in counts.items()])
+
+
+def statistics(counts: str = "counts") -> dict[str, Column]:
+    """Statistics of whole texts from their counts; shares are per word, per line or per character."""
+
+    def c(name: str) -> Column:
+        return F.col(f"{counts}.{name}")
+
+    n = F.greatest(c("words"), F.lit(1.0))
+    shares = ["capital_runs", "symbol_runs", "lone_symbols", "stops", "commas", "digits", "long_words"]
+    return {
+        "words": c("words"),
+        "word_length": c("chars") / n,
+        "line_words": n / c("lines.all"),
+        **{name: c(name) / n for name in shares},
+        "distinct_words": c("word_parts.distinct") / c("word_parts.all"),
+        "distinct_lines": c("lines.distinct") / c("lines.all"),
+    }
+
+
+def measured(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """`columns` of `docs` (with a text) beside `counts`.
+
+    The counts come out of a generator: a filter on what is made of them, such as the
+    score, is not pushed below it, where each use would count the whole text again.
+    """
+    return docs.select(*columns, F.explode(F.array(_counted("text"))).alias("counts"))
 
 
 @dataclass(frozen=True)
@@ -176,13 +207,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learns: Column) -> Rul
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_ROWS)
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     stats = statistics()
-    rows = texts.select("doc_id", "label", *[c.alias(n) for n, c in stats.items()])
+    rows = measured(texts, "doc_id", "label").select("doc_id", "label", *[c.alias(n) for n, c in stats.items()])
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label", *stats).limit(SAMPLE_ROWS).toPandas()
     return fit(list(stats), rows[list(stats)].to_numpy(np.float64), (rows["label"] == 1).to_numpy(np.float64))
 
 
 def scored(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame:
     """`docs` with a score; columns of `docs` keep their values, whatever their names."""
-    row = F.struct(*docs.columns).alias("row")
-    known = docs.select(row, *[c.alias(n) for n, c in statistics().items()])
+    known = measured(docs, F.struct(*docs.columns).alias("row"))
+    known = known.select("row", *[c.alias(n) for n, c in statistics().items()])
     return known.select("row.*", model.score().alias(score))
