@@ -9,6 +9,9 @@ Any such order is exact: of two sets as similar as asked, each has one of the co
 shingles among its first n - ceil(n * t) + 1.  The place that a shingle has in that order
 rules out more: where the first common one stands late, too few are left behind it.
 
+Most first shingles are first in one set only.  A pass over them counts up to two in hashed
+cells, and those alone in their cell are dropped before any shuffle.
+
 A pair is measured in two steps: the bits that one bitmap has and the other has not are
 shingles that cannot be shared, which bounds the overlap from above; what is left is
 intersected exactly.
@@ -43,6 +46,8 @@ from tidemark.llm.store import written
 SHINGLE, PERCENT = 5, 80
 #: Cells of the counting sketch, in chunks.
 CELLS, CHUNK_CELLS = 1 << 18, 1 << 14
+#: Cells that tell which first shingles meet: so many for each of them, within these bounds.
+HEAD_CELLS_EACH, LEAST_HEAD_CELLS, MOST_HEAD_CELLS, CHUNK_CELLS_OF_HEADS = 2, 1 << 18, 1 << 28, 1 << 18
 #: Smallest bitmap; larger sets have 4 to 8 bits per shingle, so few bits fall together.
 LEAST_BITS, BITS_EACH = 64, 4
 #: Words of 64 bits of the filter that spares most rows a shuffle.
@@ -163,23 +168,85 @@ def levels(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(percent: int, level: np.ndarray):
+def _head(data: pa.Scalar, percent: int, level: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order of all shingles."""
+    values = unpack(data.as_py())
+    n = len(values)
+    first = n - -(-percent * n // 100) + 1
+    rank = level[(values & np.uint64(CELLS - 1)).astype(np.int64)]
+    # Spread within a level, so that the order does not favour small hashes; an odd
+    # factor keeps different hashes apart.
+    order = (rank.astype(np.uint64) << np.uint64(48)) | (values * SPREAD & np.uint64((1 << 48) - 1))
+    head = np.argpartition(order, first - 1)[:first] if first < n else np.arange(n)
+    return values[head[np.argsort(order[head])]]
+
+
+def _head_cells(keys: np.ndarray, cells: int) -> np.ndarray:
+    return (W.mix(keys) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _count_heads(percent: int, level: np.ndarray, cells: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, chunk = np.zeros(cells, np.uint8), min(cells, CHUNK_CELLS_OF_HEADS)
+        for batch in batches:
+            keys = [_head(data, percent, level) for data in batch.column("shingles")]
+            if keys:
+                cell, n = np.unique(_head_cells(np.concatenate(keys), cells), return_counts=True)
+                total[cell] = np.minimum(total[cell] + np.minimum(n, 2), 2)
+        rows = total.reshape(-1, chunk)
+        for i in np.flatnonzero(rows.any(axis=1)):
+            packed = pa.compress(rows[i].tobytes(), "zstd", asbytes=True)
+            yield pa.record_batch({"chunk": pa.array([i], pa.int32()), "cells": pa.array([packed], pa.binary())})
+
+    return count
+
+
+def _met_cells(chunk: int):
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, data in zip(batch.column("chunk").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+                part = np.frombuffer(pa.decompress(data, chunk, "zstd", asbytes=True), np.uint8)
+                total[at] = np.minimum(total.get(at, 0) + part, 2)
+        bits = [np.packbits(t >= 2, bitorder="little").tobytes() for t in total.values()]
+        yield pa.record_batch({"chunk": pa.array(total, pa.int32()), "cells": pa.array(bits, pa.binary())})
+
+    return met
+
+
+def met_heads(sets: DataFrame, percent: int, level: np.ndarray) -> np.ndarray:
+    """A bit for each hashed cell: whether two first shingles or more fall into it.
+
+    A shingle in a cell of its own is first in one set only and makes no pair.
+    """
+    filled = sets.filter("n > 0")
+    size = filled.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+    cells = min(max(LEAST_HEAD_CELLS, 1 << int(HEAD_CELLS_EACH * size).bit_length()), MOST_HEAD_CELLS)
+    chunk, shape = min(cells, CHUNK_CELLS_OF_HEADS), "chunk int, cells binary"
+    counts = filled.select("shingles").mapInArrow(_count_heads(percent, level, cells), shape)
+    # The bits of all cells, so MOST_HEAD_CELLS / 8 bytes at most.
+    rows = counts.repartition(cells // chunk, "chunk").mapInArrow(_met_cells(chunk), shape).collect()
+    bits = np.zeros((cells // chunk, chunk // 8), np.uint8)
+    for row in rows:
+        bits[row["chunk"]] = np.frombuffer(row["cells"], np.uint8)
+    return bits.ravel()
+
+
+def _prefixes(percent: int, level: np.ndarray, met: np.ndarray):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, print, n, pos): each set under its first shingles, and their places in the order."""
+        """(key, print, n, pos): each set under its first shingles, and their places in the order.
+
+        Shingles that no other set has among its first are left out.
+        """
         for batch in batches:
             keys, sizes, places = [], [], []
             for data in batch.column("shingles"):
-                values = unpack(data.as_py())
-                n = len(values)
-                first = n - -(-percent * n // 100) + 1
-                rank = level[(values & np.uint64(CELLS - 1)).astype(np.int64)]
-                # Spread within a level, so that the order does not favour small hashes; an odd
-                # factor keeps different hashes apart.
-                order = (rank.astype(np.uint64) << np.uint64(48)) | (values * SPREAD & np.uint64((1 << 48) - 1))
-                head = np.argpartition(order, first - 1)[:first] if first < n else np.arange(n)
-                keys.append(values[head[np.argsort(order[head])]])
-                sizes.append(first)
-                places.append(np.arange(first, dtype=np.int32))
+                head = _head(data, percent, level)
+                cell = _head_cells(head, len(met) * 8)
+                place = np.flatnonzero((met[cell >> 3] >> (cell & 7)) & 1)
+                keys.append(head[place])
+                sizes.append(len(place))
+                places.append(place.astype(np.int32))
             if keys:
                 at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
                 key = np.concatenate(keys).view(np.int64)
@@ -421,7 +488,9 @@ def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
 def link_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root): the fingerprints of sets that have links, and their components."""
     shape = "key bigint, print bigint, n bigint, pos int"
-    first = sets.filter("n > 0").select("print", "n", "shingles").mapInArrow(_prefixes(percent, levels(sets)), shape)
+    level = levels(sets)
+    prefixes = _prefixes(percent, level, met_heads(sets, percent, level))
+    first = sets.filter("n > 0").select("print", "n", "shingles").mapInArrow(prefixes, shape)
     first = written(first, "jaccard-first")
     shared = first.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
     shared = shared.filter("rows > 1").select("key", "least")
