@@ -43,6 +43,8 @@ SHARD_BYTES = 32 << 20
 BLOCK_IDS = 1 << 20
 #: Words, and pieces of words, whose ids a task remembers.
 REMEMBERED, PIECES = 600_000, 200_000
+#: What special tokens begin with; they stand for themselves in this case only.
+SPECIAL = b"<|"
 #: ASCII marks that end a word; the apostrophe is left out, for the tokenizer looks behind it.
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 FILE_MAGIC, BLOCK_MAGIC = b"TMR1", b"TMB1"
@@ -90,6 +92,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _may_be_special(words: W.Words) -> np.ndarray:
+    """Words that hold the first bytes of a special token."""
+    out = np.zeros(len(words.start), bool)
+    data = words.data
+    at = np.flatnonzero((data[:-1] == SPECIAL[0]) & (data[1:] == SPECIAL[1]))
+    if len(at) and len(out):
+        word = np.searchsorted(words.start, at, "right") - 1
+        out[word[(word >= 0) & (at + 1 < words.end[word])]] = True
+    return out
+
+
 class Encoder:
     """Ids of whole texts, as one array with the end of each text."""
 
@@ -115,6 +128,7 @@ class Encoder:
             and kinds(made.get("pre_tokenizer"), "pretokenizers") == ["Split", "ByteLevel"]
             and split.get("invert") is True
             and split.get("behavior") == "Removed"
+            and all(t["content"].startswith(SPECIAL.decode()) for t in made.get("added_tokens", []))
         )
 
     def _word(self, word: bytes) -> tuple[int, ...]:
@@ -127,7 +141,7 @@ class Encoder:
             lower = text.lower()
             # Letters only, in normal form: normalising and splitting leave them whole.
             if not (text.isalpha() and lower.isalpha() and "Σ" not in text and unicodedata.is_normalized("NFC", text)):
-                return tuple(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+                return self._whole(word)
             ids = self._piece(lower.encode().decode("latin-1").translate(self.letters))
         tail = word[len(stem) :]
         if tail:
@@ -139,6 +153,9 @@ class Encoder:
             ids += marks
         return ids
 
+    def _whole(self, word: bytes) -> tuple[int, ...]:
+        return tuple(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
     def _piece(self, piece: str) -> tuple[int, ...]:
         ids = self.pieces.get(piece)
         if ids is None:
@@ -155,15 +172,21 @@ class Encoder:
             sizes = [len(x.ids) for x in found]
             return np.array([i for x in found for i in x.ids], np.uint32), np.cumsum([0, *sizes])
         words = W.split(texts)
-        kinds, first, kind = np.unique(
-            self.hasher.words(words, lower=True), return_index=True, return_inverse=True
-        )
+        hashes, special = self.hasher.words(words, lower=True), _may_be_special(words)
+        if special.any():
+            cased = self.hasher.words(words, lower=False)[special]
+            hashes[special] = W.mix(cased + np.uint64(1))
+        kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) + len(kinds) > REMEMBERED:
             self._forget()
         new = ~np.isin(kinds, self.hashes, assume_unique=True)
-        data = words.data.tobytes().lower()
-        begins, ends = words.start[first[new]].tolist(), words.end[first[new]].tolist()
-        ids = [self._word(data[a:b]) for a, b in zip(begins, ends, strict=True)]
+        data = words.data.tobytes()
+        lower, asked = data.lower(), first[new]
+        begins, ends = words.start[asked].tolist(), words.end[asked].tolist()
+        ids = [
+            self._whole(data[a:b]) if as_given else self._word(lower[a:b])
+            for a, b, as_given in zip(begins, ends, special[asked].tolist(), strict=True)
+        ]
         self._remember(kinds[new], ids)
         at = np.searchsorted(self.hashes, kinds)
         begin, size = self.begin[at][kind], self.size[at][kind]
