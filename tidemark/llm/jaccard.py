@@ -18,7 +18,9 @@ intersected exactly.
 
 The result is components, so pairs inside a component that is known already need no
 look.  First a leader of every tile is held against its members and what links is
-merged; then the most similar pair of every two components of a tile, by bitmap; at the
+merged.  Pairs in tiles of a few members are listed, without their sets; those that meet
+in too few tiles share too little and are dropped, the others are measured.  In the
+larger tiles, then, the most similar pair of every two components of a tile, by bitmap; at the
 end all pairs of a tile that are still in different components are measured, so no link
 is lost.  Copies with equal sets are one node throughout.
 
@@ -55,6 +57,8 @@ FILTER_WORDS = 1 << 16
 #: Pairs that the last round may compare, per row of the tiles, before a round of best
 #: pairs; rounds at most.
 LAST_ROUND, MOST_ROUNDS = 1, 3
+#: Members of a tile whose pairs are listed and counted before any is measured.
+FEW = 16
 #: Members of a tile that one task holds against as many others.
 TILE_ROWS = 2048
 #: Pairs that a task lists at a time, and bytes of bitmaps that it lays side by side.
@@ -485,6 +489,27 @@ def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b")).distinct()
 
 
+def _frequent_pairs(tiles: DataFrame, few: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet in enough of the tiles `few`, which have a few members each.
+
+    Of two sets take the one whose first shingles end earlier in the order: what both
+    share up to there is first in either.  So they share no more than the tiles they meet
+    in and what the larger one has behind its first shingles.  Of the other tiles they
+    meet in those at most that the one with less of them is in.
+    """
+    other = tiles.join(few, "key", "left_anti").groupBy("print").agg(F.count("*").alias("other"))
+    rows = tiles.join(few, "key").join(other, "print", "left")
+    rows = written(rows.select("key", "print", "n", F.coalesce("other", F.lit(0)).alias("other")), "jaccard-few")
+    left = rows.select("key", F.col("print").alias("a"), "n", "other")
+    right = rows.select("key", F.col("print").alias("b"), F.col("n").alias("m"), F.col("other").alias("others"))
+    met = left.join(right, "key").filter("a < b")
+    met = met.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+    met = met.groupBy("a", "b", "n", "m", "other", "others").agg(F.count("*").alias("tiles"))
+    need = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
+    behind = F.expr(f"({percent} * greatest(n, m) + 99) div 100 - 1")
+    return met.filter(F.col("tiles") + F.least("other", "others") + behind >= need).select("a", "b")
+
+
 def link_components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root): the fingerprints of sets that have links, and their components."""
     shape = "key bigint, print bigint, n bigint, pos int"
@@ -496,15 +521,24 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     shared = shared.filter("rows > 1").select("key", "least")
     # Shared with the least set of the tile that may be similar, so with any of them.
     need = F.expr(f"({percent} * (n + greatest(least, ({percent} * n + 99) div 100)) + {99 + percent}) div {100 + percent}")
-    tiles = first.join(shared, "key").filter(F.col("n") - F.col("pos") >= need)
-    tiles = tiles.groupBy("key", "print").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
-    tiles = written(tiles.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
+    whole = first.join(shared, "key").withColumn("able", F.col("n") - F.col("pos") >= need)
+    whole = whole.groupBy("key", "print").agg(
+        F.max("n").alias("n"), F.min("pos").alias("pos"), F.max("able").alias("able")
+    )
+    whole = written(whole.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
+    tiles = whole.filter("able").drop("able")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
     tile_rows = tiles.count()
     leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
     pairs = written(_pairs(leaders.select("key", "band", "top.*"), tiles, percent), "jaccard-pairs")
     links = written(measured.links(pairs), "jaccard-links")
+    few = whole.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") <= FEW)
+    few = written(few.select("key"), "jaccard-few")
+    near = written(_frequent_pairs(whole, few, percent), "jaccard-pairs")
+    links = links.unionByName(written(measured.links(near), "jaccard-links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # All pairs of the tiles of a few members are measured now.
+    tiles = tiles.join(few, "key", "left_anti")
     for turn in range(1, MOST_ROUNDS):
         held = tiles.join(roots, tiles["print"] == roots["node"], "left")
         held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
