@@ -489,16 +489,17 @@ def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b")).distinct()
 
 
-def _frequent_pairs(tiles: DataFrame, few: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that meet in enough of the tiles `few`, which have a few members each.
+def _frequent_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet in enough of the tiles that have a few members each.
 
     Of two sets take the one whose first shingles end earlier in the order: what both
     share up to there is first in either.  So they share no more than the tiles they meet
     in and what the larger one has behind its first shingles.  Of the other tiles they
     meet in those at most that the one with less of them is in.
     """
-    other = tiles.join(few, "key", "left_anti").groupBy("print").agg(F.count("*").alias("other"))
-    rows = tiles.join(few, "key").join(other, "print", "left")
+    few = F.col("members") <= FEW
+    other = tiles.filter(~few).groupBy("print").agg(F.count("*").alias("other"))
+    rows = tiles.filter(few).select("key", "print", "n").join(other, "print", "left")
     rows = written(rows.select("key", "print", "n", F.coalesce("other", F.lit(0)).alias("other")), "jaccard-few")
     left = rows.select("key", F.col("print").alias("a"), "n", "other")
     right = rows.select("key", F.col("print").alias("b"), F.col("n").alias("m"), F.col("other").alias("others"))
@@ -525,6 +526,9 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     whole = whole.groupBy("key", "print").agg(
         F.max("n").alias("n"), F.min("pos").alias("pos"), F.max("able").alias("able")
     )
+    # Counted behind the same exchange on the key.  Tiles of one set, which has copies, go.
+    members = whole.groupBy("key").agg(F.count("*").alias("members"))
+    whole = whole.join(members, "key").filter("members > 1")
     whole = written(whole.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
     tiles = whole.filter("able").drop("able")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
@@ -532,13 +536,11 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
     pairs = written(_pairs(leaders.select("key", "band", "top.*"), tiles, percent), "jaccard-pairs")
     links = written(measured.links(pairs), "jaccard-links")
-    few = whole.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") <= FEW)
-    few = written(few.select("key"), "jaccard-few")
-    near = written(_frequent_pairs(whole, few, percent), "jaccard-pairs")
+    near = written(_frequent_pairs(whole, percent), "jaccard-pairs")
     links = links.unionByName(written(measured.links(near), "jaccard-links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # All pairs of the tiles of a few members are measured now.
-    tiles = tiles.join(few, "key", "left_anti")
+    tiles = tiles.filter(F.col("members") > FEW).drop("members")
     for turn in range(1, MOST_ROUNDS):
         held = tiles.join(roots, tiles["print"] == roots["node"], "left")
         held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
