@@ -25,6 +25,7 @@ from tidemark.sources.tables import (  # noqa: E402
 )
 from tidemark.streaming import operators as streams  # noqa: E402
 from tidemark.streaming import run, state  # noqa: E402
+from tidemark.streaming.batches import HeavySums  # noqa: E402
 
 try:  # the corpus operators are an optional part
     import corpus_pipeline  # noqa: E402
@@ -342,6 +343,28 @@ def stream_resettable_sum(spark, sf):
     )
 
 
+def _heavy_sums(spark, sf, numbers, parts, **keys):
+    """Sums of `numbers` of the events, batch by batch, with heavy keys cut into chunks."""
+    checkpoint, output = _folders(spark)
+    sums = HeavySums(output, min_parts=parts, **keys)
+    _run_events(spark, sf, lambda events: sums.writer(numbers(events)), checkpoint)
+    return sums
+
+
+def stream_resettable_sum_heavy(spark, sf):
+    """All numbers under one constant key, which no task holds whole."""
+
+    def constant(events):
+        return _stream_numbers(events).withColumn("key", F.lit("all"))
+
+    return _heavy_sums(spark, sf, constant, 16).emitted(spark).select("seq", "n", "total")
+
+
+def stream_state_snapshot_heavy(spark, sf):
+    """The five states of every user; a user of more than a 256th of a batch is cut."""
+    return _heavy_sums(spark, sf, _stream_numbers, PARTS).snapshot(spark)
+
+
 def stream_value_state(spark, sf):
     return state.value_state(spark, _sums_state(spark, sf))
 
@@ -433,6 +456,8 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_tumbling_count": stream_tumbling_count,
         "stream_last_input": stream_last_input,
         "stream_resettable_sum": stream_resettable_sum,
+        "stream_resettable_sum_heavy": stream_resettable_sum_heavy,
+        "stream_state_snapshot_heavy": stream_state_snapshot_heavy,
         "stream_value_state": stream_value_state,
         "stream_value_state_past": stream_value_state_past,
         "stream_lookup": stream_lookup,
@@ -585,6 +610,16 @@ WHERE ended IS NULL OR seq < ended"""
 
 _WORD_COUNT = _WORDS + "SELECT word, count(*) AS count FROM words GROUP BY word"
 
+_ONE_STREAM = _TOKENS + """,
+num AS (SELECT seq, n FROM parsed WHERE n IS NOT NULL),
+epochs AS (
+  SELECT *, count(*) FILTER (n = -1)
+              OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS epoch
+  FROM num)
+SELECT seq, n, CAST(sum(n) OVER (PARTITION BY epoch ORDER BY seq
+                                 ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+FROM epochs WHERE n <> -1"""
+
 _SUMS = _NUMBERS + "SELECT key, seq, n, total FROM sums"
 
 _TUMBLING = """
@@ -613,15 +648,7 @@ def stream_sql() -> dict[str, str]:
         + "SELECT key, seq, tok FROM parsed WHERE n IS NULL AND tok IS NOT NULL",
         "take_until_quit": _UNTIL_QUIT,
         "resettable_sum": _SUMS,
-        "resettable_sum_chunked": _TOKENS + """,
-            num AS (SELECT seq, n FROM parsed WHERE n IS NOT NULL),
-            epochs AS (
-              SELECT *, count(*) FILTER (n = -1)
-                          OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS epoch
-              FROM num)
-            SELECT seq, n, CAST(sum(n) OVER (PARTITION BY epoch ORDER BY seq
-                                             ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
-            FROM epochs WHERE n <> -1""",
+        "resettable_sum_chunked": _ONE_STREAM,
         "resettable_sum_resumed": _NUMBERS + "SELECT key, seq, n, total, place AS size FROM sums",
         "value_state": _VALUE_STATE,
         "list_state": _LIST_STATE,
@@ -653,6 +680,8 @@ def stream_sql() -> dict[str, str]:
         "stream_tumbling_count": _TUMBLING,
         "stream_last_input": _LAST_INPUT,
         "stream_resettable_sum": _NUMBERS + "SELECT key, seq, total FROM sums",
+        "stream_resettable_sum_heavy": _ONE_STREAM,
+        "stream_state_snapshot_heavy": _SNAPSHOT,
         "stream_value_state": _VALUE_STATE,
         "stream_value_state_past": _PAST_VALUES,
         "stream_lookup": _LOOKUP,

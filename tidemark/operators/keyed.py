@@ -8,6 +8,7 @@ fails the query (ANSI mode) instead of wrapping round.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.tokens import AVERAGE_LABEL, CLEAR, STATE_KEY
 from tidemark.plans import Layout, Pass, ordered_scan
 from tidemark.plans.layout import names
+from tidemark.session import scratch_folder
 
 # The names under which the states of a key are published.
 VALUE_STATE = "value-query"
@@ -74,39 +76,98 @@ def _since_clear(n: str) -> Pass:
     return Pass(sums, restart=is_clear(n))
 
 
-def _to_clear(n: str) -> Pass:
-    """From the end of the stream: `dead` from the last clear of the key on."""
-    return Pass(restart=is_clear(n), seen="dead", descending=True)
+#: Keys whose ends may be broadcast: a place or two and the key of each.
+BROADCAST_KEYS = 1 << 18
 
 
-def _live(numbers: DataFrame, layout: Layout, n: str, *passes: Pass) -> DataFrame:
-    """All rows, with `live` true for the numbers after the last clear of their key."""
-    rows = ordered_scan(_needed(numbers, layout, n), layout, *passes, _to_clear(n))
-    return rows.withColumn("live", ~F.col("dead")).drop("dead")
+def _same_keys(left: DataFrame, right: DataFrame, layout: Layout) -> Column:
+    equal = [left[k].eqNullSafe(right[k]) for k in layout.keys]
+    return reduce(Column.__and__, equal, F.lit(True))
+
+
+def _ends(numbers: DataFrame, layout: Layout, n: str, latest: bool) -> DataFrame:
+    """(keys, cleared, given): the places of each key's last clear and last number.
+
+    With `latest` also `before`, the last clear ahead of the last number.  Maxima are
+    reduced before the shuffle; one row per key is written.
+    """
+    position, clear = layout.position(), is_clear(n)
+    ends = numbers.groupBy(*layout.keys).agg(
+        F.max(F.when(clear, position)).alias("cleared"), F.max(F.when(~clear, position)).alias("given")
+    )
+    ends = _kept(ends)
+    if not latest:
+        return ends
+    if ends.filter("cleared > given").isEmpty():
+        return ends.withColumn("before", F.col("cleared"))
+    rows = _beside(numbers, ends, layout)
+    ahead = F.when(clear & (position < F.col("given")), position)
+    before = rows.groupBy(*layout.keys).agg(
+        F.max("cleared").alias("cleared"), F.max("given").alias("given"), F.max(ahead).alias("before")
+    )
+    return _kept(before)
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    path = scratch_folder(rows.sparkSession, "ends")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _beside(numbers: DataFrame, ends: DataFrame, layout: Layout) -> DataFrame:
+    """The numbers with the ends of their keys.
+
+    Few ends are broadcast, and then no row is shuffled; many are hashed, so nothing is
+    sorted either way.
+    """
+    few = ends.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    ends = F.broadcast(ends) if few else ends.hint("shuffle_hash")
+    rows = numbers.join(ends, _same_keys(numbers, ends, layout))
+    return rows.select(*[numbers[c] for c in numbers.columns], *[c for c in ends.columns if c not in layout.keys])
+
+
+def _totals(numbers: DataFrame, layout: Layout, n: str, latest: bool) -> DataFrame:
+    """(keys, sum): what each key holds since its last clear, null for nothing.
+
+    With `latest` also `last`, the last sum that the key emitted.  Two passes of
+    aggregates, or three where a key ends with a clear: no row is sorted.
+    """
+    numbers = _needed(numbers, layout, n)
+    ends = _ends(numbers, layout, n, latest)
+    rows, position, given = _beside(numbers, ends, layout), layout.position(), ~is_clear(n)
+    sums = [F.sum(F.when(given & _behind("cleared", position), F.col(n))).alias("sum")]
+    if latest:
+        sent = given & _behind("before", position) & (position <= F.col("given"))
+        sums.append(F.sum(F.when(sent, F.col(n))).alias("last"))
+    return rows.groupBy(*layout.keys).agg(*sums)
+
+
+def _behind(place: str, position: Column) -> Column:
+    return F.col(place).isNull() | (position > F.col(place))
 
 
 def value_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Current sum of every key; 0 right after a clear: (keys, value)."""
-    live_sum = F.sum(F.when(F.col("live"), F.col(n)))
-    return (
-        _live(numbers, layout, n)
-        .groupBy(*layout.keys)
-        .agg(F.coalesce(live_sum, F.lit(0)).alias("value"))
-    )
+    sums = _totals(numbers, layout, n, latest=False)
+    return sums.select(*layout.keys, F.coalesce("sum", F.lit(0)).alias("value"))
 
 
 def list_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
-    """Numbers since the last clear in order, one row each: (keys, pos, n), pos from 0."""
-    # In the last segment the place since the last clear is the list position.
-    places = Pass({"place": _unless_clear(n, F.lit(1))}, restart=is_clear(n))
-    live = _live(numbers, layout, n, places).filter("live")
-    return live.select(*layout.keys, (F.col("place") - 1).alias("pos"), n)
+    """Numbers since the last clear in order, one row each: (keys, pos, n), pos from 0.
+
+    Only those are put in order.
+    """
+    numbers = _needed(numbers, layout, n)
+    rows = _beside(numbers, _ends(numbers, layout, n, latest=False), layout)
+    live = rows.filter(~is_clear(n) & _behind("cleared", layout.position())).select(*numbers.columns)
+    placed = ordered_scan(live, layout, Pass({"place": F.lit(1)}))
+    return placed.select(*layout.keys, (F.col("place") - 1).alias("pos"), n)
 
 
 def reducing_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Sum since the last clear; no row for a key that holds nothing: (keys, value)."""
-    live = _live(numbers, layout, n).filter("live")
-    return live.groupBy(*layout.keys).agg(F.sum(n).alias("value"))
+    sums = _totals(numbers, layout, n, latest=False).filter("sum IS NOT NULL")
+    return sums.select(*layout.keys, F.col("sum").alias("value"))
 
 
 def map_state(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
@@ -123,8 +184,8 @@ def map_key(layout: Layout) -> Column:
 
 def keyed_latest(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
     """Last sum emitted for every key; a clear emits nothing: (keys, value)."""
-    sums = resettable_sum(numbers, layout, n)
-    return sums.groupBy(*layout.keys).agg(F.max_by("total", layout.position()).alias("value"))
+    sums = _totals(numbers, layout, n, latest=True).filter("last IS NOT NULL")
+    return sums.select(*layout.keys, F.col("last").alias("value"))
 
 
 def labelled_inputs(numbers: DataFrame, n: str = "n") -> DataFrame:
@@ -149,13 +210,11 @@ def state_snapshot(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFram
     A state that a key does not hold gives one row with found = false and no
     value.  List elements are rows, never one array per key.
     """
-    given, live = ~is_clear(n), F.col("live")
-    rows = _live(numbers, layout, n, _since_clear(n))
-    position = layout.position()
-    per_key = rows.groupBy(*layout.keys).agg(
-        F.sum(F.when(live, F.col(n))).alias("sum"),
-        F.max_by(F.when(given, F.col("total")), F.when(given, position)).alias("last"),
-    )
+    return published(_totals(numbers, layout, n, latest=True), list_state(numbers, layout, n), layout, n)
+
+
+def published(sums: DataFrame, elements: DataFrame, layout: Layout, n: str = "n") -> DataFrame:
+    """The rows of `state_snapshot` from (keys, sum, last) and the lists (keys, pos, n)."""
     nothing = F.lit(None).cast("bigint")
     no_entry = F.lit(None).cast("string")
 
@@ -176,17 +235,17 @@ def state_snapshot(numbers: DataFrame, layout: Layout, n: str = "n") -> DataFram
         state(KEYED_STATE, F.col("last")),
     )
     with_list = F.concat(states, F.array(state(LIST_STATE, nothing)))
-    scalars = per_key.select(
+    scalars = sums.select(
         *layout.keys, F.explode(F.when(held.isNull(), with_list).otherwise(states)).alias("s")
     ).select(
         "s.state_name", *layout.keys, nothing.alias("pos"), "s.map_key", "s.value", "s.found"
     )
-    elements = rows.filter(live).select(
+    items = elements.select(
         F.lit(LIST_STATE).alias("state_name"),
         *layout.keys,
-        (F.col("place") - 1).alias("pos"),
+        F.col("pos").cast("bigint").alias("pos"),
         no_entry.alias("map_key"),
         F.col(n).alias("value"),
         F.lit(True).alias("found"),
     )
-    return scalars.unionByName(elements)
+    return scalars.unionByName(items)

@@ -37,7 +37,30 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", None)
+        if master is None or not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, found = _file_system(spark, path)
+    return files.exists(found)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it does not exist."""
+    files, found = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(found)] if files.exists(found) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder that this library has written, if it is there."""
+    files, found = _file_system(spark, path)
+    files.delete(found, True)
