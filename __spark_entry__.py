@@ -376,6 +376,36 @@ def stream_value_state_past(spark, sf):
     return state.value_state(spark, _sums_state(spark, sf, cuts=[cut]), batch=0)
 
 
+def _middle(spark, sf):
+    middle = F.floor((F.min("event_id") + F.max("event_id")) / 2)
+    return _events(spark, sf).agg(middle).first()[0]
+
+
+def stream_state_changes(spark, sf):
+    """How each of two batches, cut in the middle of the ids, left the sums of its users."""
+    checkpoint = _sums_state(spark, sf, cuts=[_middle(spark, sf)])
+    rows = state.changes(spark, checkpoint, state.VALUE_STATE)
+    return rows.select("batch", "key", "value", "size", "change")
+
+
+def stream_resettable_sum_resumed(spark, sf):
+    """The upper half of the ids in a new stream that starts from the state of the lower half."""
+    middle = _middle(spark, sf)
+    saved = state.saved_sums(spark, _sums_state(spark, sf, keep_list=True, cuts=[middle]), batch=0)
+    later = _events(spark, sf).filter(F.col("event_id") > middle)
+    checkpoint, output = _folders(spark)
+    schemas = []
+
+    def writer(events):
+        stream = streams.resettable_sum(_stream_numbers(events), initial=saved)
+        schemas.append(stream.schema)
+        return run.to_table(stream, output)
+
+    cuts = run.even_cuts(later, "event_id", least=2)
+    run.run_in_order(writer, later, "event_id", cuts, scratch_folder(spark, "arrived"), checkpoint)
+    return spark.read.schema(schemas[0]).parquet(output)
+
+
 def stream_list_state(spark, sf):
     return state.list_state(spark, _sums_state(spark, sf, keep_list=True))
 
@@ -460,6 +490,8 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_state_snapshot_heavy": stream_state_snapshot_heavy,
         "stream_value_state": stream_value_state,
         "stream_value_state_past": stream_value_state_past,
+        "stream_state_changes": stream_state_changes,
+        "stream_resettable_sum_resumed": stream_resettable_sum_resumed,
         "stream_lookup": stream_lookup,
         "stream_list_state": stream_list_state,
         "stream_map_state": stream_map_state,
@@ -582,6 +614,22 @@ _PAST_VALUES = _VALUE_STATE.replace(
     "FROM events WHERE event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events))",
 )
 
+_CHANGES = _NUMBERS + """,
+halves AS (
+  SELECT key, seq, n, CAST(seq > (SELECT (min(event_id) + max(event_id)) // 2 FROM events) AS BIGINT)
+           AS batch
+  FROM num),
+ends AS (SELECT key, batch, max(seq) AS upto FROM halves GROUP BY key, batch),
+cleared AS (
+  SELECT ends.*, (SELECT max(seq) FROM num
+                  WHERE num.key = ends.key AND n = -1 AND seq <= ends.upto) AS clear
+  FROM ends)
+SELECT batch, cleared.key, CAST(coalesce(sum(n), 0) AS BIGINT) AS value, count(n) AS size,
+       'update' AS change
+FROM cleared LEFT JOIN num ON num.key = cleared.key AND num.seq <= upto
+                              AND (clear IS NULL OR num.seq > clear)
+GROUP BY batch, cleared.key"""
+
 _LOOKUP = f"""
 WITH snap AS ({_SNAPSHOT}),
 wanted AS (SELECT DISTINCT unnest([user_id, -1 - user_id]) AS key FROM events),
@@ -684,6 +732,10 @@ def stream_sql() -> dict[str, str]:
         "stream_state_snapshot_heavy": _SNAPSHOT,
         "stream_value_state": _VALUE_STATE,
         "stream_value_state_past": _PAST_VALUES,
+        "stream_state_changes": _CHANGES,
+        "stream_resettable_sum_resumed": _NUMBERS + """
+            SELECT key, seq, total FROM sums
+            WHERE seq > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
         "stream_lookup": _LOOKUP,
         "stream_list_state": _LIST_STATE,
         "stream_map_state": _MAP_STATE,

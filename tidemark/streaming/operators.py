@@ -58,7 +58,7 @@ def last_input(numbers: DataFrame, keys: str | Sequence[str], order: str = "seq"
     return given.groupBy(*names(keys)).agg(F.max_by("n", order).alias("value"))
 
 
-def _apply(stream, processor, keys, order, columns, result, **options):
+def _apply(stream, processor, keys, order, columns, result, initial=None, **options):
     keys, order = list(names(keys)), list(names(order))
     rows = stream.select(*keys, *order, *columns)
     kinds = dict(rows.dtypes)
@@ -68,6 +68,7 @@ def _apply(stream, processor, keys, order, columns, result, **options):
         StructType([*kept, result]),
         "Append",
         "None",
+        initial.groupBy(*keys) if initial is not None else None,
     )
 
 
@@ -76,10 +77,15 @@ def resettable_sum(
     keys: str | Sequence[str] = "key",
     order: str | Sequence[str] = "seq",
     keep_list: bool = True,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Each number with the sum since the last clear: (keys, order, total)."""
+    """Each number with the sum since the last clear: (keys, order, total).
+
+    `initial` is what an earlier stream has kept (`state.saved_sums`): a new stream, on a
+    new checkpoint, goes on from it.
+    """
     total = StructField("total", LongType())
-    return _apply(numbers, ResettableSum, keys, order, ["n"], total, keep_list=keep_list)
+    return _apply(numbers, ResettableSum, keys, order, ["n"], total, initial, keep_list=keep_list)
 
 
 def running_average(

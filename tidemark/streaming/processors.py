@@ -34,8 +34,12 @@ def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 def _place(batch: pd.DataFrame, order: list[str], row: int) -> tuple:
     """The order of one row, as plain Python values."""
-    values = (batch[c].iloc[row] for c in order)
-    return tuple(v.item() if isinstance(v, np.generic) else v for v in values)
+    return tuple(_plain(batch[c].iloc[row]) for c in order)
+
+
+def _plain(value):
+    """A value that state takes: numbers of numpy would be stored as nulls."""
+    return value.item() if isinstance(value, np.generic) else value
 
 
 def _follows(batch: pd.DataFrame, order: list[str], last: tuple) -> tuple:
@@ -140,6 +144,21 @@ class ResettableSum(StatefulProcessor):
             self.latest.update((int(sums[given][-1]),))
             yield batch.loc[given, self.keys + self.order].assign(total=sums[given])
 
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """Takes up what an earlier stream has kept of the key, see `state.saved_sums`."""
+        for found in initialState["segments"]:
+            for segment in found if self.items else ():
+                self.items.add_all(int(segment["start"]), [int(n) for n in segment["items"]])
+        for found, latest in zip(initialState["sums"], initialState["latest"], strict=True):
+            for sums in found:
+                size, total = int(sums["size"]), int(sums["n"])
+                self.value.update((total, size, *[_plain(sums[f"at_{name}"]) for name in self.order]))
+                if size:
+                    self.entries.updateValue((",".join(str(part) for part in key),), (total,))
+                    self.reduced.update((total,))
+            for n in latest:
+                self.latest.update((int(n),))
+
     def _clear(self) -> None:
         """Clears every state but the last emitted sum; the value is overwritten."""
         self.entries.clear()

@@ -22,6 +22,8 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Progress of all batches of a run is looked through for dropped rows, not of the last 100.
+    "spark.sql.streaming.numRecentProgressUpdates": str(1 << 20),
 }
 
 # Fixed value: the checkpoint interval where none is asked for.

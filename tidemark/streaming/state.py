@@ -57,6 +57,71 @@ def read_state(
     return reader.load()
 
 
+def changes(
+    spark: SparkSession,
+    checkpoint: str,
+    state: str,
+    first: int = 0,
+    last: int | None = None,
+) -> DataFrame:
+    """What batches `first` to `last` did to a published state: (batch, keys, ..., change).
+
+    One row per key, or entry of a key, and change; `change` is `update` or `delete`.
+    Several changes of one key in one batch leave several rows, in no order: a clear
+    and what follows it.  Between key and change stand the columns of the state's reader,
+    null where it was deleted; list elements come by segment (start, items).
+    """
+    reader = spark.read.format("statestore").option("path", checkpoint)
+    reader = reader.option("stateVarName", VARIABLES[state]).option("readChangeFeed", True)
+    reader = reader.option("changeStartBatchId", first)
+    if last is not None:
+        reader = reader.option("changeEndBatchId", last)
+    feed = reader.load()
+    columns = {
+        VALUE_STATE: [F.col("value.n").alias("value"), F.col("value.size").alias("size")],
+        REDUCING_STATE: [F.col("value.n").alias("value")],
+        KEYED_STATE: [F.col("value.n").alias("value")],
+    }
+    if state == MAP_STATE:
+        own = [F.col("user_map_key.map_key").alias("map_key"), F.col("user_map_value.n").alias("value")]
+    elif state == LIST_STATE:
+        own = [F.col("user_map_key.start").alias("start"), F.col("user_map_value.items").alias("items")]
+    else:
+        own = columns[state]
+    change = F.when(F.col("change_type") == "delete", "delete").otherwise("update")
+    return feed.select(F.col("batch_id").alias("batch"), *_keys(feed), *own, change.alias("change"))
+
+
+def saved_sums(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """All that a stream of sums keeps, for a new one to start from.
+
+    (keys, sums, latest, segments): a row for each key with its `sums` (n, size, at_...),
+    and one for each segment (start, items) of its list.  They stand in arrays of one
+    element at most, so that no null turns whole numbers into floats on their way.
+    """
+    kept = {row["name"] for row in state_names(spark, checkpoint).collect()}
+    value = read_state(spark, checkpoint, "value_query", batch)
+    keys = [c for c in value.schema["key"].dataType.names]
+    sums = value.select(*_keys(value), "value.*")
+    latest = read_state(spark, checkpoint, "keyed_query", batch)
+    latest = latest.select(*_keys(latest), F.col("value.n").alias("latest"))
+    same = reduce(Column.__and__, [sums[k].eqNullSafe(latest[k]) for k in keys])
+    fields = [sums[c] for c in sums.columns if c not in keys]
+    some = F.array_compact(F.array(F.col("latest")))
+    out = sums.join(latest, same, "left").select(
+        *[sums[k] for k in keys],
+        F.array(F.struct(*fields)).alias("sums"),
+        some.alias("latest"),
+        F.array().cast("array<struct<start bigint, items array<bigint>>>").alias("segments"),
+    )
+    if "list_query" not in kept:
+        return out
+    parts = read_state(spark, checkpoint, "list_query", batch)
+    segment = F.struct("user_map_key.start", "user_map_value.items")
+    none = {name: F.array().cast(out.schema[name].dataType).alias(name) for name in ("sums", "latest")}
+    return out.unionByName(parts.select(*_keys(parts), *none.values(), F.array(segment).alias("segments")))
+
+
 def _keys(state: DataFrame) -> list[Column]:
     return [F.col(f"key.{field}") for field in state.schema["key"].dataType.names]
 
