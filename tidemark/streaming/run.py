@@ -73,9 +73,10 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     Fails if the watermark dropped rows as late: choose a longer delay then.
     """
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # The progress is kept by the session's setting as it is during the run, not by a copy.
     with state_settings(SparkSession.active()):
         query = writer.start()
-    query.awaitTermination()
+        query.awaitTermination()
     late = sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress
