@@ -1,6 +1,4 @@
-"""Streams of heavy keys as batch jobs, state changes, starts from saved state, late rows."""
-
-import datetime as dt
+"""Streams of heavy keys as batch jobs, state changes, starts from saved state."""
 
 import pytest
 from model import Sums
@@ -170,22 +168,6 @@ def test_a_new_stream_checks_the_saved_order(spark, tmp_path):
         streamed(spark, tmp_path, "new", [[("a", 4, 1)]], initial=saved)
 
 
-# --- late rows in long runs -----------------------------------------------------
-
-
-def test_late_rows_of_the_first_of_many_batches_fail_the_run(spark, tmp_path):
-    """110 batches, one file each; what an early one drops is not forgotten."""
-    start = dt.datetime(2024, 1, 1)
-    seconds = [100, 0, *range(101, 209)]
-    for i, s in enumerate(seconds):
-        rows = [(start + dt.timedelta(seconds=s), "w")]
-        spark.createDataFrame(rows, "ts timestamp, word string").coalesce(1).write.parquet(f"{tmp_path}/in/{i:03d}")
-    reader = spark.readStream.schema("ts timestamp, word string").option("maxFilesPerTrigger", 1)
-    stream = streams.tumbling_count(reader.parquet(f"{tmp_path}/in/*"), delay="0 seconds")
-    with pytest.raises(ValueError, match="1 rows came later"):
-        run.run_available(run.to_state(stream, "append"), f"{tmp_path}/checkpoint")
-
-
 def test_folders_of_unknown_masters_are_not_local(spark, monkeypatch):
     from tidemark.session import scratch_folder
 
