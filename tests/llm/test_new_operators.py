@@ -218,7 +218,7 @@ def test_negatives_equal_the_rule(spark, monkeypatch, shard_rows, clusters):
     monkeypatch.setattr(negatives, "BLOCK_ROWS", 16)
     rows = vector_rows(400, 6, 2, clusters)
     rows += [(400, rows[0][1], 1), (401, rows[0][1], 0), (402, rows[0][1], 2), (5, rows[5][1], rows[5][2])]
-    rows += [(10, rows[3][1], 1), (403, None, 1), (404, [1.0, None, 0, 0, 0, 0], 1), (405, [float("nan")] * 6, 0)]
+    rows += [(10, rows[3][1], 1), (403, None, 1), (404, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (405, [float("nan")] * 6, 0)]
     rows += [(406, rows[1][1], None), (None, rows[1][1], 1), (410, [0.5, 0.25], 1), (411, [0.5, 0.5], 1), (412, [0.25, 0.5], 0)]
     vectors = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", score string").repartition(5)
     out = negatives.mine(vectors, F.col("vec_id") % 10 == 0)

@@ -116,8 +116,7 @@ class Runs:
             merged = runs[0]
             for run in runs[1:]:
                 merged = merged.unionByName(run)
-            # Grouped for its distribution by key only, which buckets have already.
-            name = self._write(merged.groupBy(*HASHES).agg(F.min("doc").alias("doc")))
+            name = self._write(merged.repartition(self.buckets, *HASHES))
             if i + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[i + 1].append(name)
