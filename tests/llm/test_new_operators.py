@@ -91,8 +91,6 @@ def test_runs_are_kept_in_levels(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 0, 1]
     rows = [tuple(r) for run in runs.tables() for r in run.collect()]
     assert sorted((h, d) for h, _, d in rows) == [(h, max(0, h // 50 - 1)) for h in range(500)]
-    one = runs.tables()[-1]
-    assert len({r[0] for r in one.select(F.input_file_name()).distinct().collect()}) <= 3
 
 
 def test_runs_meet_batches_without_a_shuffle_of_the_runs(spark):
