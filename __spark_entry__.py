@@ -26,6 +26,8 @@ from tidemark.sources.tables import (  # noqa: E402
 from tidemark.streaming import operators as streams  # noqa: E402
 from tidemark.streaming import run, state  # noqa: E402
 from tidemark.streaming.batches import HeavySums  # noqa: E402
+from tidemark.streaming.inputs import CountedWindows, QuitAll  # noqa: E402
+from tidemark.streaming.published import KeyedTable  # noqa: E402
 
 try:  # the corpus operators are an optional part
     import corpus_pipeline  # noqa: E402
@@ -425,6 +427,58 @@ def stream_lookup(spark, sf):
     return state.lookup_many(keys, _sums_state(spark, sf, keep_list=True))
 
 
+def _keyed_table(spark, sf):
+    """The latest sum of every user, kept by upserts batch by batch."""
+    checkpoint, output = _folders(spark)
+    table = KeyedTable(output)
+
+    def writer(events):
+        return table.writer(streams.resettable_sum(_stream_numbers(events), keep_list=False))
+
+    _run_events(spark, sf, writer, checkpoint)
+    return table
+
+
+def stream_keyed_table(spark, sf):
+    return _keyed_table(spark, sf).table(spark)
+
+
+def stream_lookup_point(spark, sf):
+    """The latest sum of the user with the largest id, from the files of one slot."""
+    user = _events(spark, sf).agg(F.max("user_id")).first()[0]
+    return _keyed_table(spark, sf).lookup(spark, user)
+
+
+def _all_quits(events):
+    """Tokens of all users; the stream quits at the first purchase whose k is 99."""
+    quits = (F.col("event_type") == "purchase") & (F.col("k").try_cast("bigint") == 99)
+    return with_property(events).select(
+        F.col("user_id").alias("key"),
+        F.col("event_id").alias("seq"),
+        F.when(quits, "quit").otherwise(F.col("event_type")).alias("tok"),
+    )
+
+
+def stream_quit_all(spark, sf):
+    """Events of all users before the first marker of any of them."""
+    checkpoint, output = _folders(spark)
+    ending = QuitAll(output)
+    _run_events(spark, sf, lambda events: ending.writer(_all_quits(events)), checkpoint)
+    return ending.emitted(spark)
+
+
+def stream_tumbling_count_late(spark, sf):
+    """Windows fed in the order of event ids, not of time, with the rows that came too late."""
+    checkpoint, output = _folders(spark)
+    windows = CountedWindows(output, "0 seconds", "event_type")
+    _run_events(spark, sf, windows.writer, checkpoint)
+    late = windows.late(spark).groupBy(F.window(F.col("ts").cast("timestamp"), "5 seconds"), "event_type")
+    late = late.agg(F.count("*").alias("count"))
+    counted = windows.closed(spark).unionByName(windows.still_open(spark)).unionByName(late)
+    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
+    return counted.groupBy(start, "event_type").agg(F.sum("count").alias("count"))
+
+
 def stream_running_avg(spark, sf):
     return _output_of(spark, sf, lambda events: streams.running_average(_stream_numbers(events)))
 
@@ -493,6 +547,10 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_state_changes": stream_state_changes,
         "stream_resettable_sum_resumed": stream_resettable_sum_resumed,
         "stream_lookup": stream_lookup,
+        "stream_lookup_point": stream_lookup_point,
+        "stream_keyed_table": stream_keyed_table,
+        "stream_quit_all": stream_quit_all,
+        "stream_tumbling_count_late": stream_tumbling_count_late,
         "stream_list_state": stream_list_state,
         "stream_map_state": stream_map_state,
         "stream_state_snapshot": stream_state_snapshot,
@@ -656,6 +714,19 @@ ends AS (SELECT key, min(seq) AS ended FROM toks WHERE tok = 'quit' GROUP BY key
 SELECT key, seq, tok FROM toks LEFT JOIN ends USING (key)
 WHERE ended IS NULL OR seq < ended"""
 
+_QUIT_ALL = """
+WITH toks AS (
+  SELECT user_id AS key, event_id AS seq,
+         CASE WHEN event_type = 'purchase'
+                   AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) = 99
+              THEN 'quit' ELSE event_type END AS tok
+  FROM events)
+SELECT key, seq, tok FROM toks
+WHERE seq < coalesce((SELECT min(seq) FROM toks WHERE tok = 'quit'), 9223372036854775807)"""
+
+_LATEST = """
+SELECT * FROM (SELECT key, max(seq) AS seq, arg_max(total, seq) AS total FROM sums GROUP BY key)"""
+
 _WORD_COUNT = _WORDS + "SELECT word, count(*) AS count FROM words GROUP BY word"
 
 _ONE_STREAM = _TOKENS + """,
@@ -737,6 +808,10 @@ def stream_sql() -> dict[str, str]:
             SELECT key, seq, total FROM sums
             WHERE seq > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
         "stream_lookup": _LOOKUP,
+        "stream_lookup_point": _NUMBERS + _LATEST + " WHERE key = (SELECT max(user_id) FROM events)",
+        "stream_keyed_table": _NUMBERS + _LATEST,
+        "stream_quit_all": _QUIT_ALL,
+        "stream_tumbling_count_late": _TUMBLING,
         "stream_list_state": _LIST_STATE,
         "stream_map_state": _MAP_STATE,
         "stream_state_snapshot": _SNAPSHOT,

@@ -27,6 +27,8 @@ STATE_SETTINGS = {
 # Fixed value: the checkpoint interval where none is asked for.
 INTERVAL = "60 seconds"
 ALL_ROWS = (1 << 31) - 64
+#: Seconds between looks at a running query; it has fewer than 100 batches in that time.
+LOOK_SECONDS = 1
 
 
 @contextmanager
@@ -65,20 +67,34 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str = INTERVAL) -
         return writer.start()
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+def _dropped(query: StreamingQuery, seen: dict[int, int]) -> None:
+    """Adds the rows that each batch known to the query has dropped as late."""
+    for progress in query.recentProgress:
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        if dropped:  # a batch may report more than once
+            seen[progress.batchId] = max(seen.get(progress.batchId, 0), dropped)
+
+
+def run_available(
+    writer: DataStreamWriter, checkpoint: str, until: Callable[[], bool] | None = None
+) -> None:
     """Work off what the source holds now, in batches, and return.
 
-    Fails if the watermark dropped rows as late: choose a longer delay then.
+    With `until`, the query is stopped once that holds.  Fails if the watermark dropped
+    rows as late in any batch: choose a longer delay then, or keep those rows
+    (`inputs.CountedWindows`).
     """
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     with state_settings(SparkSession.active()):
         query = writer.start()
-    query.awaitTermination()
-    late = sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+    # A query remembers its last 100 batches, so it is asked while it runs.
+    seen: dict[int, int] = {}
+    while not query.awaitTermination(LOOK_SECONDS):
+        _dropped(query, seen)
+        if until and until():
+            query.stop()
+    _dropped(query, seen)
+    late = sum(seen.values())
     if late:
         raise ValueError(f"{late} rows came later than the watermark's delay and were dropped")
 
