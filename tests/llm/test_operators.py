@@ -78,6 +78,38 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == mixing.taken_words(none).count() == 0
 
 
+def test_mixing_spreads_documents_of_one_id(spark):
+    """A third of a source without an id: no bucket of its order holds more than a few of them."""
+    rows = [(None if i % 3 == 0 else i, f"word{i} " * (i % 7 + 1), "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    scheduled, cut = mixing.scheduled_mix(docs)
+    assert scheduled.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 12
+    total = sum(i % 7 + 1 for i in range(3000))
+    taken = mixing.taken_words(docs).agg(F.sum("taken")).first()[0]
+    assert total - 7 <= taken <= total
+
+
+def test_the_order_and_the_cut_of_a_mix_equal_a_loop(spark):
+    rows = [(i, f"w{i} " * (i * 7 % 11 + 1), f"s{i % 4 if i % 9 else 0}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    scheduled, cut = mixing.scheduled_mix(docs)
+    known = scheduled.select("doc_id", "size", "source_no", "source_size", "target", "budget", "place").collect()
+    copies = []
+    for no in {r["source_no"] for r in known}:
+        given = 0
+        for r in sorted((r for r in known if r["source_no"] == no), key=lambda r: (r["place"], r["doc_id"])):
+            given += r["size"]
+            for c in range(mixing.EPOCHS):
+                copies.append(((c * r["source_size"] + given) / r["target"], no, r["place"], r["doc_id"], c, r["size"]))
+    left, taken = int(known[0]["budget"]), dict.fromkeys(range(200), 0)
+    for copy in sorted(copies):
+        left -= copy[-1]
+        if left < 0:
+            break
+        taken[copy[3]] += copy[-1]
+    assert {r["doc_id"]: r["taken"] for r in mixing.taken_words(docs).collect()} == taken
+
+
 def test_targets_fill_like_the_loop(spark):
     sizes = {"a": 10, "b": 2000, "c": 500, None: 40, "d": 0}
     rows = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size bigint")

@@ -98,12 +98,13 @@ def schedule(
 ) -> DataFrame:
     """(row, doc_id, size, source_no, source_size, target, budget, place, finishes).
 
-    `docs` has row, doc_id, source and size; `finishes` are the virtual times of the
-    document's copies, none where the target is 0.
+    `docs` has row, doc_id, mark, source and size; `finishes` are the virtual times of the
+    document's copies, none where the target is 0.  `mark`, a hash of the text, spreads
+    documents that share an id, such as a null one, over the order.
     """
     known = docs.join(
         sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
-    ).withColumn("place", F.xxhash64(F.lit(seed), "doc_id"))
+    ).withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "mark"))
     # Unsigned order of the hash is not needed: any fixed order is a shuffle.
     known = known.withColumn("bucket", F.shiftright("place", 64 - ORDER_BUCKETS.bit_length() + 1))
     keys = ["source_no", "bucket"]
@@ -185,10 +186,9 @@ def scheduled_mix(docs: DataFrame, share: float = 1.0, seed: int = 0) -> tuple[D
 
     The sizes are counted once and kept as a narrow table; the cut is found on it.
     """
-    given = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count().alias("size")
-    )
-    narrow = written(given.select("doc_id", "source", "size"), "mixing-sizes")
+    row, mark = F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("mark")
+    given = docs.select(row, "doc_id", mark, "source", word_count().alias("size"))
+    narrow = written(given.select("doc_id", "mark", "source", "size"), "mixing-sizes")
     sources = written(targets(narrow, share), "mixing-targets")
     flat = narrow.withColumn("row", F.lit(None).cast("string"))
     cut = find_cut(schedule(flat, sources, seed))
