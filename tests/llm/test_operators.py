@@ -378,6 +378,64 @@ def test_quality(spark, docs, none):
     assert quality.scored(none, model).count() == 0
 
 
+def plain_tiles(item, text, least):
+    """Covered tokens by the greedy rule: again and again the longest run that is still free in both."""
+    free_item, free_text, covered = [True] * len(item), [True] * len(text), 0
+
+    def run(i, j):
+        n = 0
+        while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and free_item[i + n] and free_text[j + n]:
+            n += 1
+        return n
+
+    while True:
+        n, i, j = max(((run(i, j), -i, -j) for i in range(len(item)) for j in range(len(text))), default=(0, 0, 0))
+        if n < least:
+            return covered
+        for k in range(n):
+            free_item[k - i] = free_text[k - j] = False
+        covered += n
+
+
+def test_tiles_equal_the_greedy_rule():
+    """Tokens that are unlike within an item, so that the greedy rule has one result."""
+    random = np.random.default_rng(5)
+    for _ in range(60):
+        item = random.permutation(40).astype(np.uint64) + np.uint64(1)
+        cuts = np.split(item, np.sort(random.choice(np.arange(1, 40), 4, replace=False)))
+        random.shuffle(cuts)
+        text = np.concatenate([np.append(c, np.uint64(99)) for c in cuts[: random.integers(1, 6)]])
+        found = tiling.tiles(item, text, 5)
+        assert sum(t[2] for t in found) == plain_tiles(item.tolist(), text.tolist(), 5)
+
+
+def test_rows_of_one_id_meet_their_own_items_only(spark, monkeypatch):
+    """60 rows without an id, each with one item: 60 pairs are tiled, not 3600."""
+    texts = [" ".join(f"t{i}x{k}" for k in range(12)) for i in range(60)]
+    rows = spark.createDataFrame([(None, f"some words before {t}") for t in texts], "doc_id bigint, text string")
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    tiled = tiling._tiled
+    pairs = spark.sparkContext.accumulator(0)
+
+    def counted(least):
+        work = tiled(least)
+
+        def count(batches):
+            def seen():
+                for batch in batches:
+                    pairs.add(batch.num_rows)
+                    yield batch
+
+            return work(seen())
+
+        return count
+
+    monkeypatch.setattr(tiling, "_tiled", counted)
+    found = tiling.coverage(rows, items).collect()
+    assert {(r["doc_id"], r["item_id"], r["coverage"]) for r in found} == {(None, i, 1.0) for i in range(60)}
+    assert pairs.value == 60
+
+
 def test_language(spark, docs, none):
     rng = np.random.default_rng(0)
     kinds = {"xx": ["ba", "lo", "mi", "ta"], "yy": ["schr", "äu", "ung", "pf"]}

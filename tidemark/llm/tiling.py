@@ -210,10 +210,12 @@ def coverage(docs: DataFrame, items: DataFrame, least: int = LEAST) -> DataFrame
     seeds = item.select("item", F.explode("seeds").alias("seed")).distinct()
     given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), null).alias("doc"), F.lower("text").alias("text"))
     columns = "doc bigint, tokens binary, seeds array<bigint>"
-    hits = written(given.mapInArrow(_stretches(least, _bitmap(seeds)), columns), "tiling-hits")
-    pairs = hits.select("doc", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    pairs = pairs.select("doc", "item").distinct()
-    pairs = pairs.join(hits.select("doc", "tokens"), "doc")
+    hits = given.mapInArrow(_stretches(least, _bitmap(seeds)), columns)
+    # Rows that share an id are told apart by their stretches, so each is tiled with its own items.
+    hits = written(hits.withColumn("row", F.xxhash64("tokens")), "tiling-hits")
+    pairs = hits.select("doc", "row", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    pairs = pairs.select("doc", "row", "item").distinct()
+    pairs = pairs.join(hits.select("doc", "row", "tokens"), ["doc", "row"])
     pairs = pairs.join(item.select("item", F.col("tokens").alias("item_tokens")), "item")
     tiled = pairs.select("doc", "item", "tokens", "item_tokens").mapInArrow(
         _tiled(least), "doc bigint, item bigint, item_tokens bigint, covered_tokens bigint, tiles bigint"
