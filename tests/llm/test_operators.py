@@ -436,6 +436,22 @@ def test_rows_of_one_id_meet_their_own_items_only(spark, monkeypatch):
     assert pairs.value == 60
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """30 languages under a bound of 60 windows; one of them has three texts, a third have no id."""
+    seen = {}
+
+    def train(x, y, languages):
+        seen.update(dict(zip(languages, np.bincount(y, minlength=len(languages)), strict=True)))
+        return language.Network([], np.zeros((0, 0)), [], np.zeros((0, 0)), np.zeros(0))
+
+    monkeypatch.setattr(language, "train", train)
+    monkeypatch.setattr(language, "MOST_SAMPLED", 60)
+    rows = [(None if i % 3 == 0 else i, f"text {i} of a language", f"l{i % 29:02}") for i in range(900)]
+    rows += [(i, f"rare text {i}", "rare") for i in range(1000, 1003)]
+    language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    assert len(seen) == 30 and set(seen.values()) == {2}
+
+
 def test_language(spark, docs, none):
     rng = np.random.default_rng(0)
     kinds = {"xx": ["ba", "lo", "mi", "ta"], "yy": ["schr", "äu", "ung", "pf"]}

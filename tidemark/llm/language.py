@@ -11,7 +11,8 @@ neighbours.  Many windows run through numpy at once, place by place, which keeps
 working set in the processor's cache.
 
 The network is trained in numpy on the driver, on windows of a bounded sample: about
-`PER_LABEL` documents of each language, `WINDOWS_PER_TEXT` windows of each.
+`PER_LABEL` documents of each language, `WINDOWS_PER_TEXT` windows of each, and at most
+`MOST_SAMPLED` windows, shared out so that each language has one at least.
 
 Defined results: `und`, score 0, for a null text and one without a letter.  With nothing
 to learn from, every text is `und`.  Ties go to the first language by code point.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import slices
@@ -175,14 +176,26 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, learns: Column) -> Network:
     """A network from text and lang of the rows for which `learns` holds."""
+    spark = docs.sparkSession
     known = docs.filter(learns & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("place"))
-    counts = known.groupBy("lang").count()
-    share = F.pmod("place", F.lit(1 << 20)) / F.lit(1 << 20) * F.col("count")
-    few = known.join(counts, "lang").filter(share < PER_LABEL)
+    # By the text as well, since many rows may share an id.
+    known = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("place"))
+    counts = known.groupBy("lang").count().limit(MOST_SAMPLED + 1).collect()
+    if len(counts) > MOST_SAMPLED:
+        raise ValueError(f"more than {MOST_SAMPLED} languages to learn")
+    # Of each language the texts whose places lie in the lowest share of all places.  The
+    # shares are a row per language, so no text is shuffled to learn whether it is taken.
+    shares = [(r["lang"], min(1.0, PER_LABEL / r["count"])) for r in counts]
+    shares = spark.createDataFrame(shares, "lang string, share double")
+    spot = F.pmod("place", F.lit(1 << 30)) / F.lit(1 << 30)
+    few = known.join(F.broadcast(shares), "lang").filter(spot < F.col("share"))
     windows = few.select("text", "lang", "place").mapInArrow(_sample, "lang string, place long, classes binary")
+    # About PER_LABEL texts of a language are left here; each language keeps its own number.
+    each = max(MOST_SAMPLED // max(len(counts), 1), 1)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "classes"))
+    windows = windows.withColumn("nth", first).filter(F.col("nth") <= each).drop("nth")
     # A bounded number of rows to the driver.
-    rows = windows.orderBy("place", "lang", "classes").limit(MOST_SAMPLED).collect()
+    rows = windows.orderBy("place", "lang", "classes").collect()
     languages = sorted({r["lang"] for r in rows})
     if not rows:
         return Network([], np.zeros((0, 0)), [], np.zeros((0, 0)), np.zeros(0))
