@@ -10,7 +10,8 @@ shingles among its first n - ceil(n * t) + 1.  The place that a shingle has in t
 rules out more: where the first common one stands late, too few are left behind it.
 
 Most first shingles are first in one set only.  A pass over them counts up to two in hashed
-cells, and those alone in their cell are dropped before any shuffle.
+cells, and those alone in their cell are dropped before any shuffle.  Tiles with the same
+members are merged into one, which counts as so many.
 
 A pair is measured in two steps: the bits that one bitmap has and the other has not are
 shingles that cannot be shared, which bounds the overlap from above; what is left is
@@ -489,6 +490,24 @@ def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b")).distinct()
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """(key, members, weight): one tile for all that have the same members, and how many they are.
+
+    Near copies share most of their first shingles, each of which makes the same tile.  The
+    one whose shingle comes first in the order stays: all members have it earlier than the
+    others, so no bound by places is tighter there.  Members are compared by 128 bits of
+    their hashes; they are counted behind the exchanges that `rows` come from, of which all
+    columns are read here as well, so that both read the same ones.
+    """
+    same = [F.bit_xor(F.xxhash64("print", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    by_key = rows.groupBy("key").agg(
+        F.count("*").alias("members"), *same, F.sum("n").alias("total"), F.min("least").alias("least"), F.sum("pos").alias("places")
+    )
+    alike = by_key.groupBy("members", "mark0", "mark1", "total", "least")
+    first = alike.agg(F.min(F.struct("places", "key")).alias("first"), F.count("*").alias("weight"))
+    return first.select("first.key", "members", "weight")
+
+
 def _frequent_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that meet in enough of the tiles that have a few members each.
 
@@ -498,14 +517,14 @@ def _frequent_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     meet in those at most that the one with less of them is in.
     """
     few = F.col("members") <= FEW
-    other = tiles.filter(~few).groupBy("print").agg(F.count("*").alias("other"))
-    rows = tiles.filter(few).select("key", "print", "n").join(other, "print", "left")
-    rows = written(rows.select("key", "print", "n", F.coalesce("other", F.lit(0)).alias("other")), "jaccard-few")
-    left = rows.select("key", F.col("print").alias("a"), "n", "other")
+    other = tiles.filter(~few).groupBy("print").agg(F.sum("weight").alias("other"))
+    rows = tiles.filter(few).select("key", "print", "n", "weight").join(other, "print", "left")
+    rows = written(rows.select("key", "print", "n", "weight", F.coalesce("other", F.lit(0)).alias("other")), "jaccard-few")
+    left = rows.select("key", "weight", F.col("print").alias("a"), "n", "other")
     right = rows.select("key", F.col("print").alias("b"), F.col("n").alias("m"), F.col("other").alias("others"))
     met = left.join(right, "key").filter("a < b")
     met = met.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    met = met.groupBy("a", "b", "n", "m", "other", "others").agg(F.count("*").alias("tiles"))
+    met = met.groupBy("a", "b", "n", "m", "other", "others").agg(F.sum("weight").alias("tiles"))
     need = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
     behind = F.expr(f"({percent} * greatest(n, m) + 99) div 100 - 1")
     return met.filter(F.col("tiles") + F.least("other", "others") + behind >= need).select("a", "b")
@@ -518,19 +537,17 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     prefixes = _prefixes(percent, level, met_heads(sets, percent, level))
     first = sets.filter("n > 0").select("print", "n", "shingles").mapInArrow(prefixes, shape)
     first = written(first, "jaccard-first")
-    shared = first.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
-    shared = shared.filter("rows > 1").select("key", "least")
+    shared = first.groupBy("key").agg(F.min("n").alias("least"), F.min("print").alias("low"), F.max("print").alias("high"))
+    shared = shared.filter("low <> high").select("key", "least")
     # Shared with the least set of the tile that may be similar, so with any of them.
     need = F.expr(f"({percent} * (n + greatest(least, ({percent} * n + 99) div 100)) + {99 + percent}) div {100 + percent}")
     whole = first.join(shared, "key").withColumn("able", F.col("n") - F.col("pos") >= need)
     whole = whole.groupBy("key", "print").agg(
-        F.max("n").alias("n"), F.min("pos").alias("pos"), F.max("able").alias("able")
+        F.max("n").alias("n"), F.min("pos").alias("pos"), F.max("able").alias("able"), F.min("least").alias("least")
     )
-    # Counted behind the same exchange on the key.  Tiles of one set, which has copies, go.
-    members = whole.groupBy("key").agg(F.count("*").alias("members"))
-    whole = whole.join(members, "key").filter("members > 1")
+    whole = whole.join(_merged(whole), "key").drop("least")
     whole = written(whole.withColumn("band", band(F.col("n"), percent)), "jaccard-tiles")
-    tiles = whole.filter("able").drop("able")
+    tiles = whole.filter("able").drop("able", "weight")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
     tile_rows = tiles.count()
     leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
