@@ -18,9 +18,9 @@ shingles that cannot be shared, which bounds the overlap from above; what is lef
 intersected exactly.
 
 The result is components, so pairs inside a component that is known already need no
-look.  First a leader of every tile is held against its members and what links is
-merged.  Pairs in tiles of a few members are listed, without their sets; those that meet
-in too few tiles share too little and are dropped, the others are measured.  In the
+look.  Pairs in tiles of a few members are listed, without their sets; those that meet
+in too few tiles share too little and are dropped.  The others are measured, and in larger
+tiles those of a leader with its members; what links is merged.  In the
 larger tiles, then, the most similar pair of every two components of a tile, by bitmap; at the
 end all pairs of a tile that are still in different components are measured, so no link
 is lost.  Copies with equal sets are one node throughout.
@@ -482,12 +482,12 @@ def _bit_tiles(percent: int, best: bool):
 
 
 def _pairs(left: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of `left` and members of the same tiles, of fitting sizes."""
+    """Pairs of `left` and members of the same tiles, of fitting sizes; some come often."""
     near = left.withColumn("band", F.explode(F.expr("sequence(band - 1, band + 1)")))
     near = near.select("key", "band", F.col("print").alias("p"), F.col("n").alias("m"))
     met = tiles.join(near, ["key", "band"]).filter("print <> p")
     met = met.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b")).distinct()
+    return met.select(F.least("print", "p").alias("a"), F.greatest("print", "p").alias("b"))
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -550,16 +550,15 @@ def link_components(sets: DataFrame, percent: int) -> DataFrame:
     tiles = whole.filter("able").drop("able", "weight")
     measured = Measured(sets, tiles.select("print").distinct(), percent)
     tile_rows = tiles.count()
-    leaders = tiles.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
-    pairs = written(_pairs(leaders.select("key", "band", "top.*"), tiles, percent), "jaccard-pairs")
+    # All pairs of the tiles of a few members are listed, so leaders are for the others.
+    large = tiles.filter(F.col("members") > FEW).drop("members")
+    leaders = large.groupBy("key", "band").agg(F.min(F.struct("print", "n")).alias("top"))
+    pairs = _pairs(leaders.select("key", "band", "top.*"), large, percent)
+    pairs = written(pairs.unionByName(_frequent_pairs(whole, percent)).distinct(), "jaccard-pairs")
     links = written(measured.links(pairs), "jaccard-links")
-    near = written(_frequent_pairs(whole, percent), "jaccard-pairs")
-    links = links.unionByName(written(measured.links(near), "jaccard-links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # All pairs of the tiles of a few members are measured now.
-    tiles = tiles.filter(F.col("members") > FEW).drop("members")
     for turn in range(1, MOST_ROUNDS):
-        held = tiles.join(roots, tiles["print"] == roots["node"], "left")
+        held = large.join(roots, large["print"] == roots["node"], "left")
         held = held.select("key", "print", "n", "pos", "band", F.coalesce("root", "print").alias("comp"))
         sizes = held.groupBy("key", "comp").agg(F.count("*").alias("size"))
         mains = sizes.groupBy("key").agg(
