@@ -32,7 +32,9 @@ from tidemark.streaming.published import KeyedTable  # noqa: E402
 try:  # the corpus operators are an optional part
     import corpus_pipeline  # noqa: E402
     from tidemark.llm import queries as corpus  # noqa: E402
-except ImportError:
+except ModuleNotFoundError as missing:  # any other failure is one
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("tidemark.llm"):
+        raise
     corpus = corpus_pipeline = None
 
 SMOKE = "/root/testdata/sf0.001"
@@ -327,12 +329,12 @@ def stream_last_input(spark, sf):
     return stored.select("key.label", F.col(f"value.{value}").alias("value"))
 
 
-def _sums_state(spark, sf, keep_list=False, cuts=None):
+def _sums_state(spark, sf, keep_list=False, cuts=None, numbers=_stream_numbers):
     """Checkpoint of the streamed sums."""
     checkpoint, _ = _folders(spark)
 
     def writer(events):
-        sums = streams.resettable_sum(_stream_numbers(events), keep_list=keep_list)
+        sums = streams.resettable_sum(numbers(events), keep_list=keep_list)
         return run.to_state(sums, "append")
 
     _run_events(spark, sf, writer, checkpoint, cuts)
@@ -427,6 +429,17 @@ def stream_lookup(spark, sf):
     return state.lookup_many(keys, _sums_state(spark, sf, keep_list=True))
 
 
+def stream_lookup_normalised(spark, sf):
+    """The five states of every user, kept under a name that is asked for in capitals between blanks."""
+
+    def named(events):
+        return _stream_numbers(events).withColumn("key", F.concat(F.lit("user "), F.col("key").cast("string")))
+
+    asked = F.concat(F.lit(" \t"), F.lit("USER "), F.col("user_id").cast("string"), F.lit("  "))
+    checkpoint = _sums_state(spark, sf, keep_list=True, numbers=named)
+    return state.lookup_many(_events(spark, sf).select(asked.alias("key")), checkpoint, normalise=True)
+
+
 def _keyed_table(spark, sf):
     """The latest sum of every user, kept by upserts batch by batch."""
     checkpoint, output = _folders(spark)
@@ -547,6 +560,7 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_state_changes": stream_state_changes,
         "stream_resettable_sum_resumed": stream_resettable_sum_resumed,
         "stream_lookup": stream_lookup,
+        "stream_lookup_normalised": stream_lookup_normalised,
         "stream_lookup_point": stream_lookup_point,
         "stream_keyed_table": stream_keyed_table,
         "stream_quit_all": stream_quit_all,
@@ -696,6 +710,10 @@ names AS (SELECT unnest(['value-query', 'list-query', 'map-query', 'reduce-query
 SELECT state_name, key, pos, map_key, value, coalesce(found, false) AS found
 FROM (SELECT * FROM wanted CROSS JOIN names) LEFT JOIN snap USING (state_name, key)"""
 
+_LOOKUP_NORMALISED = f"""
+SELECT state_name, 'user ' || key AS key, pos, 'user ' || map_key AS map_key, value, found
+FROM ({_LOOKUP}) WHERE key IN (SELECT user_id FROM events)"""
+
 _PARSED = _TOKENS + "SELECT key, seq, n FROM parsed WHERE n IS NOT NULL"
 
 _RUNNING_COUNT = """
@@ -808,6 +826,7 @@ def stream_sql() -> dict[str, str]:
             SELECT key, seq, total FROM sums
             WHERE seq > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
         "stream_lookup": _LOOKUP,
+        "stream_lookup_normalised": _LOOKUP_NORMALISED,
         "stream_lookup_point": _NUMBERS + _LATEST + " WHERE key = (SELECT max(user_id) FROM events)",
         "stream_keyed_table": _NUMBERS + _LATEST,
         "stream_quit_all": _QUIT_ALL,

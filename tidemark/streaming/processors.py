@@ -79,7 +79,12 @@ class SegmentedList:
         self.segments = handle.getMapState(name, "start bigint", f"items array<{element}>")
 
     def add_all(self, size: int, items: list) -> None:
-        """Append to a list of `size` elements."""
+        """Append to a list of `size` elements; its last segment is filled before one is opened."""
+        start = size // SEGMENT * SEGMENT
+        if items and start < size and self.segments.containsKey((start,)):
+            [last] = self.segments.getValue((start,))
+            if len(last) == size - start:  # else the list was kept in segments of other sizes
+                size, items = start, [*last, *items]
         for at in range(0, len(items), SEGMENT):
             self.segments.updateValue((size + at,), (items[at : at + SEGMENT],))
 

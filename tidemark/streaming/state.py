@@ -183,6 +183,11 @@ def normalised(key: object) -> object:
     return key.lower().strip() if isinstance(key, str) else key
 
 
+def normalised_column(column: str) -> Column:
+    """A text column as `normalised` makes a key."""
+    return F.regexp_replace(F.lower(column), r"(?U)^\s+|\s+\z", "")
+
+
 def lookup(
     spark: SparkSession,
     checkpoint: str,
@@ -231,13 +236,18 @@ def lookup_many(
     keys: DataFrame,
     checkpoint: str,
     states: str | Sequence[str] = tuple(VARIABLES),
+    normalise: bool = False,
     batch: int | None = None,
 ) -> DataFrame:
     """States of all keys of a table: (state_name, keys, pos, map_key, value, found).
 
     One read of each state, joined with the distinct keys, whose columns are named and
     typed as those of the state.  What a key does not hold is one row with found = false.
+    With `normalise`, text keys are taken, and returned, in lower case without outer blanks.
     """
+    if normalise:
+        texts = [name for name, kind in keys.dtypes if kind == "string"]
+        keys = keys.withColumns({name: normalised_column(name) for name in texts})
     spark, asked = keys.sparkSession, names(states)
     kept = {row["name"] for row in state_names(spark, checkpoint).collect()}
     if not kept:
