@@ -335,3 +335,21 @@ def test_take_until_over_batches(source):
     stream = streams.take_until(source.stream(schema))
     run_available(to_table(stream, source.out), source.checkpoint)
     assert sorted(source.output("seq", "key")) == [(0, 1), (2, 1), (3, 1), (8, 3)]
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def test_state_settings_hold_while_the_stream_runs(spark, source):
+    """The stream copies the session's settings in its own thread, after start() returns."""
+    source.drop([(1, 0, 1)])
+    seen = []
+
+    def batch(rows, _):
+        seen.append(spark.conf.get(PROVIDER))
+
+    run_available(source.stream().writeStream.foreachBatch(batch), source.checkpoint)
+    assert seen and all(name.endswith("RocksDBStateStoreProvider") for name in seen)
+    offsets = (source.folder.parent / "cp" / "offsets" / "0").read_text()
+    assert "RocksDBStateStoreProvider" in offsets
+    assert not spark.conf.get(PROVIDER).endswith("RocksDBStateStoreProvider")

@@ -64,7 +64,12 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str = INTERVAL) -
     """Run for good, with one batch, and so one checkpoint, per interval."""
     writer = writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval)
     with state_settings(SparkSession.active()):
-        return writer.start()
+        query = writer.start()
+        # The query copies the settings in its own thread after start() returns, so they
+        # stay until its first batch has run.
+        while not query.recentProgress and not query.awaitTermination(LOOK_SECONDS):
+            pass
+        return query
 
 
 def _dropped(query: StreamingQuery, seen: dict[int, int]) -> None:
@@ -85,14 +90,15 @@ def run_available(
     (`inputs.CountedWindows`).
     """
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    with state_settings(SparkSession.active()):
-        query = writer.start()
     # A query remembers its last 100 batches, so it is asked while it runs.
     seen: dict[int, int] = {}
-    while not query.awaitTermination(LOOK_SECONDS):
-        _dropped(query, seen)
-        if until and until():
-            query.stop()
+    # The query copies the settings in its own thread after start() returns: they stay until it ends.
+    with state_settings(SparkSession.active()):
+        query = writer.start()
+        while not query.awaitTermination(LOOK_SECONDS):
+            _dropped(query, seen)
+            if until and until():
+                query.stop()
     _dropped(query, seen)
     late = sum(seen.values())
     if late:
