@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from tidemark.functions.tokens import QUIT_TOKEN
 from tidemark.operators.keyed import is_clear
@@ -58,7 +59,7 @@ def last_input(numbers: DataFrame, keys: str | Sequence[str], order: str = "seq"
     return given.groupBy(*names(keys)).agg(F.max_by("n", order).alias("value"))
 
 
-def _apply(stream, processor, keys, order, columns, result, initial=None, **options):
+def _apply(stream, processor, keys, order, columns, result, **options):
     keys, order = list(names(keys)), list(names(order))
     rows = stream.select(*keys, *order, *columns)
     kinds = dict(rows.dtypes)
@@ -68,7 +69,6 @@ def _apply(stream, processor, keys, order, columns, result, initial=None, **opti
         StructType([*kept, result]),
         "Append",
         "None",
-        initial.groupBy(*keys) if initial is not None else None,
     )
 
 
@@ -84,8 +84,24 @@ def resettable_sum(
     `initial` is what an earlier stream has kept (`state.saved_sums`): a new stream, on a
     new checkpoint, goes on from it.
     """
-    total = StructField("total", LongType())
-    return _apply(numbers, ResettableSum, keys, order, ["n"], total, initial, keep_list=keep_list)
+    keys, order = list(names(keys)), list(names(order))
+    rows = numbers.select(*keys, *order, "n")
+    kinds, fields = dict(rows.dtypes), {field.name: field for field in rows.schema}
+
+    def lists(*columns: str) -> StructType:
+        kept = [fields[c] for c in keys]
+        return StructType([*kept, *[StructField(c, ArrayType(fields[c].dataType)) for c in columns]])
+
+    # State is kept key by key, which costs little next to handing over the rows one by one.
+    packed = rows.repartition(*keys).mapInArrow(partial(processors.packed, keys=keys), lists(*order, "n"))
+    sums = packed.groupBy(*keys).transformWithState(
+        ResettableSum(keys, [(c, kinds[c]) for c in order], keep_list),
+        lists(*order).add("total", ArrayType(LongType())),
+        "Append",
+        "None",
+        initial.groupBy(*keys) if initial is not None else None,
+    )
+    return sums.select(*keys, F.inline(F.arrays_zip(*order, "total")))
 
 
 def running_average(
