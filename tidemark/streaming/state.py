@@ -322,7 +322,8 @@ def snapshot(spark: SparkSession, checkpoint: str, batch: int | None = None) ->
 
     # A key without numbers since its last clear has none of these three.
     bare = sums.filter(F.col("size") == 0)
-    latest = keyed_latest(spark, checkpoint, batch)
+    latest = keyed_latest(spark, checkpoint, batch).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     value = F.col("value")
     parts = [
         rows(VALUE_STATE, sums, value=F.col("n")),
@@ -335,6 +336,6 @@ def snapshot(spark: SparkSession, checkpoint: str, batch: int | None = None) ->
             value=value,
         ),
         rows(REDUCING_STATE, reducing_state(spark, checkpoint, batch), value=value),
-        rows(KEYED_STATE, sums.select(*keys).join(latest, keys, "left"), value=value),
+        rows(KEYED_STATE, sums.select(*keys).join(latest, same, "left"), value=value),
     ]
     return reduce(DataFrame.unionByName, parts)
