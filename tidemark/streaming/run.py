@@ -63,7 +63,7 @@ def to_console(stream: DataFrame, mode: str = "update") -> DataStreamWriter:
 def start(writer: DataStreamWriter, checkpoint: str, interval: str = INTERVAL) -> StreamingQuery:
     """Run for good, with one batch, and so one checkpoint, per interval."""
     writer = writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval)
-    with state_settings(SparkSession.active()):
+    with state_settings(writer._spark):  # the stream's own session, which need not be the active one
         query = writer.start()
         # The query copies the settings in its own thread after start() returns, so they
         # stay until its first batch has run.
@@ -93,7 +93,7 @@ def run_available(
     # A query remembers its last 100 batches, so it is asked while it runs.
     seen: dict[int, int] = {}
     # The query copies the settings in its own thread after start() returns: they stay until it ends.
-    with state_settings(SparkSession.active()):
+    with state_settings(writer._spark):  # the stream's own session, which need not be the active one
         query = writer.start()
         while not query.awaitTermination(LOOK_SECONDS):
             _dropped(query, seen)
